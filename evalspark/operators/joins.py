@@ -1,0 +1,14 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast hint only after a look that the table has at most ``max_rows`` rows.
+
+    A larger table comes back without a hint and joins by shuffle.
+    """
+    fits = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if fits else df

@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from evalspark.functions import fixed
 from evalspark.functions.text import fill
+from evalspark.operators.joins import broadcast_if_small
 
+#: Example sets that are broadcast; a set is bounded by ``max_messages``.
+MAX_BROADCAST_SETS = 1000
 MESSAGE_TYPE = "array<struct<role:string,content:string>>"
 
 
@@ -62,7 +65,10 @@ def build_messages(
     :func:`few_shot_array`, joined on its set column by equality.
     """
     if isinstance(examples, DataFrame):
-        items = items.join(examples, set_column, "left")
+        # A few example sets serve all items; without the hint every item would be
+        # shuffled to the handful of tasks its set column has.
+        small = broadcast_if_small(examples, MAX_BROADCAST_SETS)
+        items = items.join(small, set_column, "left")
         shots = F.coalesce(F.col("examples"), F.array().cast(MESSAGE_TYPE))
     else:
         shots = literal_messages(examples)

@@ -16,8 +16,10 @@ SCHEMAS = {
 }
 
 
-def _append(df: DataFrame, root: str, table: str) -> None:
-    df.write.mode("append").partitionBy("experiment").parquet(f"{root}/{table}")
+def append_run_table(df: DataFrame, root: str, table: str) -> None:
+    """Append rows of any number of runs to one of the four tables."""
+    columns = [part.split()[0] for part in SCHEMAS[table].split(", ")]
+    df.select(*columns).write.mode("append").partitionBy("experiment").parquet(f"{root}/{table}")
 
 
 def _rows(spark: SparkSession, table: str, rows: Sequence[tuple]) -> DataFrame:
@@ -40,7 +42,7 @@ def log_run(
     """
     if params:
         rows = [(experiment, run_id, k, str(v)) for k, v in params.items()]
-        _append(_rows(spark, "run_params", rows), root, "run_params")
+        append_run_table(_rows(spark, "run_params", rows), root, "run_params")
     if isinstance(metrics, DataFrame):
         at = F.col("step") if "step" in metrics.columns else F.lit(step)
         table = metrics.select(
@@ -50,13 +52,13 @@ def log_run(
             at.cast("long").alias("step"),
             F.col("value").cast("double").alias("value"),
         )
-        _append(table, root, "run_metrics")
+        append_run_table(table, root, "run_metrics")
     elif metrics:
         rows = [(experiment, run_id, k, step, float(v)) for k, v in metrics.items()]
-        _append(_rows(spark, "run_metrics", rows), root, "run_metrics")
+        append_run_table(_rows(spark, "run_metrics", rows), root, "run_metrics")
     if artifacts:
         rows = [(experiment, run_id, path) for path in artifacts]
-        _append(_rows(spark, "run_artifacts", rows), root, "run_artifacts")
+        append_run_table(_rows(spark, "run_artifacts", rows), root, "run_artifacts")
 
 
 def tag_run(
@@ -67,7 +69,7 @@ def tag_run(
     tags: Mapping[str, str],
 ) -> None:
     rows = [(experiment, run_id, k, v) for k, v in tags.items()]
-    _append(_rows(spark, "run_tags", rows), root, "run_tags")
+    append_run_table(_rows(spark, "run_tags", rows), root, "run_tags")
 
 
 def read_run_table(
