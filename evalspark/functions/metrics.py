@@ -119,8 +119,8 @@ def set_recall(pred: Column, gold: Column) -> Column:
     """Share of gold labels that were predicted; nothing expected, nothing said = 1."""
     p, g = label_set(pred), label_set(gold)
     return F.when(
-        F.size(g) > 0, F.size(F.array_intersect(p, g)) / F.size(g)
-    ).otherwise((F.size(p) == 0).cast("double"))
+        F.array_size(g) > 0, F.array_size(F.array_intersect(p, g)) / F.array_size(g)
+    ).when(g.isNotNull(), (F.array_size(p) == 0).cast("double"))
 
 
 def character_recall(pred: Column, gold: Column) -> Column:

@@ -71,7 +71,7 @@ def tool_call_list(text: Column) -> Column:
 
     valid = (
         F.ltrim(text).startswith("[")
-        & (F.size(calls) > 0)
+        & (F.array_size(calls) > 0)
         & F.forall(calls, has_both)
     )
     return F.when(valid, F.transform(calls, shaped))

@@ -102,7 +102,7 @@ def parse_structured(
     checked = df.withColumn("_value", value).withColumn(
         "violations", parsing.rule_violations(F.col("_value"), rules)
     )
-    ok = F.size("violations") == 0
+    ok = F.array_size("violations") == 0
     fields = [
         F.when(ok, F.try_variant_get(F.col("_value"), f"$.{r.field}", "string"))
         .when(~ok, F.lit(""))

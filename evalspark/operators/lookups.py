@@ -129,7 +129,7 @@ def snp_genes_book(tables: Tables, list_limit: int = LIST_LIMIT) -> DataFrame:
         .groupBy("rsid")
         .agg(ordered_values(F.col("rnk"), F.col("name")).alias("names"))
     )
-    is_long = F.size("names") > list_limit
+    is_long = F.array_size("names") > list_limit
     return names.select(
         F.lit("snp_gene").alias("kind"),
         F.col("rsid").alias("arg"),

@@ -74,8 +74,8 @@ def with_argument_errors(calls: DataFrame, registry: Registry) -> DataFrame:
     error = (
         F.when(~F.col("parameters_ok"), "invalid arguments")
         .when(~known, "unknown tool")
-        .when(F.size("missing") > 0, "missing arguments")
-        .when(F.size("extra") > 0, "extra arguments")
+        .when(F.array_size("missing") > 0, "missing arguments")
+        .when(F.array_size("extra") > 0, "extra arguments")
     )
     return checked.withColumn("error", error)
 

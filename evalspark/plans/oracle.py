@@ -595,7 +595,7 @@ _sql("question_arguments", "select id, arg from questions")
 _sql(
     "question_kinds_as_coded",
     f"""select id, case when kind = 'disease_loc' then 'disease_genes' else kind end kind,
-    case when kind = 'disease_loc' then 'solve them step by step.'
+    case when kind = 'disease_loc' then 'sub-questions and solve them step by step.'
       when kind = 'seq_alias' then arg || '. {SUFFIX.rstrip(".")}'
       when kind = 'align' or kind = 'organism' then arg
       when kind = 'disease_genes' then trim(string_split(question, 'to')[-1], '? ')
@@ -636,7 +636,7 @@ _sql(
 # === normalisation and scoring ===
 _sql(
     "normalised_answers",
-    """select id, task, coalesce(len(p)::int, -1) n, array_to_string(p, '|') normalised
+    """select id, task, len(p)::int n, array_to_string(p, '|') normalised
     from (select id, task, """
     + _normalised("raw_prediction")
     + " p from mixed)",
@@ -778,7 +778,7 @@ _sql(
 _sql("pending_items", "select id, task from preds where not success")
 _sql(
     "running_scores",
-    """select model run, id, count(*) over w items, round(avg(score) over w, 6) score from run_results
+    """select model run, id, count(*) over w items, round(avg(score) over w + 1e-9, 6) score from run_results
     window w as (partition by model order by id rows between unbounded preceding and current row)""",
 )
 

@@ -26,7 +26,7 @@ def paired_lines(df: DataFrame) -> DataFrame:
         if isinstance(df.schema[column].dataType, T.ArrayType):
             listed = F.to_variant_object(value)
             alone = F.try_variant_get(listed, "$[0]", "variant")
-            return F.when(F.size(value) == 1, alone).otherwise(listed)
+            return F.when(F.array_size(value) == 1, alone).otherwise(listed)
         return F.try_variant_get(F.to_variant_object(F.array(value)), "$[0]", "variant")
 
     pair = F.struct(edge("predicted").alias("predicted"), edge("true").alias("true"))
