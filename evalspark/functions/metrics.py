@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from evalspark.functions import fixed
 from evalspark.functions.text import drop_answer_prefix, last_token, strip
@@ -27,10 +27,12 @@ def check_mode(mode: str) -> str:
 
 # --- normalisation ---------------------------------------------------------------
 
+LIST_TASKS = (fixed.TASK_GENE_DISEASE, fixed.TASK_DISEASE_LOCATION)
+LOCATION_TASKS = (fixed.TASK_SNP_LOCATION, fixed.TASK_GENE_LOCATION)
 
-def location_answer(text: Column) -> Column:
-    """Last word, with "chr" put in front unless it is in there already."""
-    token = last_token(text)
+
+def location_answer(token: Column) -> Column:
+    """Location word, with "chr" put in front unless it is in there already."""
     return F.when(token.contains("chr"), token).otherwise(
         F.concat(F.lit("chr"), token)
     )
@@ -40,8 +42,7 @@ def listed_answer(text: Column) -> Column:
     return F.split(drop_answer_prefix(text), fixed.LIST_SEPARATOR)
 
 
-def coding_answer(text: Column) -> Column:
-    plain = drop_answer_prefix(text)
+def coding_answer(plain: Column) -> Column:
     return (
         F.when(plain == "Yes", F.lit(fixed.TRUE_TEXT))
         .when(plain == "No", F.lit(fixed.NOT_AVAILABLE))
@@ -57,21 +58,43 @@ def common_name(name: Column) -> Column:
     return F.coalesce(F.try_element_at(known, name), name)
 
 
-def normalised_answer(text: Column, task: Column) -> Column:
-    """Answer text -> normalised array, by the rule of its task."""
-    location = location_answer(text)
-    single = (
-        F.when(task == fixed.TASK_CODING, coding_answer(text))
-        .when(task == fixed.TASK_SPECIES, common_name(drop_answer_prefix(text)))
-        .when(
-            task.isin(fixed.TASK_SNP_LOCATION, fixed.TASK_GENE_LOCATION), location
+def with_normalised(
+    df: DataFrame, answers: dict[str, Column]
+) -> DataFrame:
+    """Adds normalised answers: new column -> answer text, by the row's ``task``.
+
+    Steps that the next one uses more than once are columns of their own. Catalyst
+    keeps such projections apart, so each is computed once per row.
+    """
+    task = F.col("task")
+    plain = {f"_plain_{n}": drop_answer_prefix(a) for n, a in answers.items()}
+    token = {
+        f"_token_{n}": F.when(task.isin(*LOCATION_TASKS), last_token(a))
+        for n, a in answers.items()
+    }
+
+    def single(name: str) -> Column:
+        text = F.col(f"_plain_{name}")
+        return (
+            F.when(task == fixed.TASK_CODING, coding_answer(text))
+            .when(task == fixed.TASK_SPECIES, common_name(text))
+            .when(task.isin(*LOCATION_TASKS), location_answer(F.col(f"_token_{name}")))
+            .when(~task.isin(*LIST_TASKS), text)
+        )
+
+    def whole(name: str) -> Column:
+        one = F.col(f"_single_{name}")
+        listed = F.split(F.col(f"_plain_{name}"), fixed.LIST_SEPARATOR)
+        return F.when(one.isNotNull(), F.array(one)).when(
+            task.isin(*LIST_TASKS), listed
         )
-        .otherwise(drop_answer_prefix(text))
+
+    return (
+        df.withColumns({**plain, **token})
+        .withColumns({f"_single_{n}": single(n) for n in answers})
+        .withColumns({n: whole(n) for n in answers})
+        .drop(*plain, *token, *[f"_single_{n}" for n in answers])
     )
-    return F.when(
-        task.isin(fixed.TASK_GENE_DISEASE, fixed.TASK_DISEASE_LOCATION),
-        listed_answer(text),
-    ).when(single.isNotNull(), F.array(single))
 
 
 # --- metrics over two texts ----------------------------------------------------------
@@ -117,10 +140,16 @@ def label_set(values: Column) -> Column:
 
 def set_recall(pred: Column, gold: Column) -> Column:
     """Share of gold labels that were predicted; nothing expected, nothing said = 1."""
-    p, g = label_set(pred), label_set(gold)
-    return F.when(
-        F.array_size(g) > 0, F.array_size(F.array_intersect(p, g)) / F.array_size(g)
-    ).when(g.isNotNull(), (F.array_size(p) == 0).cast("double"))
+
+    def recall(sets: Column) -> Column:
+        p, g = sets["p"], sets["g"]
+        share = F.array_size(F.array_intersect(p, g)) / F.array_size(g)
+        nothing = (F.array_size(p) == 0).cast("double")
+        return F.when(F.array_size(g) > 0, share).when(g.isNotNull(), nothing)
+
+    # The sets are built once and handed to the rule as one value.
+    sets = F.struct(label_set(pred).alias("p"), label_set(gold).alias("g"))
+    return F.get(F.transform(F.array(sets), recall), F.lit(0))
 
 
 def character_recall(pred: Column, gold: Column) -> Column:

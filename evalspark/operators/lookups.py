@@ -28,13 +28,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from evalspark.functions import fixed, reports
 from evalspark.functions.metrics import check_mode
-from evalspark.operators.ranking import first_present, ordered_values, top_candidates
+from evalspark.operators.ranking import (
+    GROUP_LIMIT,
+    first_present,
+    ordered_values,
+    top_candidates,
+)
 from evalspark.operators.routing import ALL_KINDS, UNKNOWN, route_questions
 
 Tables = Mapping[str, DataFrame]
 
-#: Names that one answer text may list; a key with more is answered in rows.
-LIST_LIMIT = 10_000
+#: Names that one answer text may list; a key with more is answered in rows. With one
+#: more it is still short enough for the group limit that runs before the shuffle.
+LIST_LIMIT = GROUP_LIMIT - 1
 
 NA = fixed.NOT_AVAILABLE
 

@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+#: Longest list for which Spark puts its own group limit before the shuffle.
+GROUP_LIMIT = 1000
+SALTS = 64
+
+
 def top_candidates(
     hits: DataFrame, k: int, query: Sequence[str] = ("query",), order: str = "rank"
 ) -> DataFrame:
@@ -14,7 +19,16 @@ def top_candidates(
 
     Spark turns the filter on ``row_number`` into a group limit that runs before the
     shuffle, so a query with very many hits sends k rows per partition and no more.
+    Above Spark's bound for that, hits are first cut within 64 salted parts per query.
     """
+    if k > GROUP_LIMIT:
+        part = F.pmod(F.xxhash64(*hits.columns), F.lit(SALTS))
+        salted = hits.withColumn("_part", part)
+        hits = _first(salted, k, [*query, "_part"], order).drop("_part")
+    return _first(hits, k, query, order)
+
+
+def _first(hits: DataFrame, k: int, query: Sequence[str], order: str) -> DataFrame:
     window = Window.partitionBy(*query).orderBy(order)
     return (
         hits.withColumn("_place", F.row_number().over(window))

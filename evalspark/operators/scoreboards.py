@@ -214,10 +214,13 @@ def running_score(
 
     A run may hold most of the rows, so its ids are never ordered in one task. Ids are
     cut into blocks of 2^block_bits, those into blocks of blocks; sums run within each
-    level, and a row adds up what lies before it on all three.
+    level, and a row adds up what lies before it on all three. Rows need a run and an id.
     """
     keys = list(keys)
-    rows = results.groupBy(*keys, "id").agg(
+    # Non-null ids spare the joins below their own null filters, so all three levels
+    # read the same exchange of the rows.
+    placed = results.where(F.col("id").isNotNull())
+    rows = placed.groupBy(*keys, "id").agg(
         F.sum("score").alias("s"), F.count("score").alias("n")
     )
     fine = F.shiftright("id", block_bits)

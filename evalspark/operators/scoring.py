@@ -20,9 +20,7 @@ def normalise_answers(
     df: DataFrame, column: str = "raw_prediction", into: str = "normalised"
 ) -> DataFrame:
     """Adds the normalised answer (array of texts); null where it cannot be made."""
-    return df.withColumn(
-        into, metrics.normalised_answer(_as_text(df, column), F.col("task"))
-    )
+    return metrics.with_normalised(df, {into: _as_text(df, column)})
 
 
 def score_answers(
@@ -41,18 +39,15 @@ def score_answers(
     called = F.col("raw_prediction").isNotNull()
     if "success" in df.columns:
         called = called & F.coalesce(F.col("success"), F.lit(False))
-    prepared = df.withColumns(
-        {
-            "_pred": metrics.normalised_answer(_as_text(df, "raw_prediction"), task),
-            "_gold": metrics.normalised_answer(_as_text(df, "answer"), task),
-            "_called": called,
-        }
+    prepared = metrics.with_normalised(
+        df.withColumn("_called", called),
+        {"_pred": _as_text(df, "raw_prediction"), "_gold": _as_text(df, "answer")},
     )
     ok = F.col("_called") & F.col("_pred").isNotNull() & F.col("_gold").isNotNull()
     if check_mode(mode) == "as_coded":
         # This task yields lists, which its (default) text metric cannot compare.
         ok = ok & (task != fixed.TASK_DISEASE_LOCATION)
-    listed = task.isin(fixed.TASK_GENE_DISEASE, fixed.TASK_DISEASE_LOCATION)
+    listed = task.isin(*metrics.LIST_TASKS)
     processed = F.when(listed, list_literal(F.col("_pred"))).otherwise(
         F.get("_pred", F.lit(0))
     )
@@ -82,23 +77,15 @@ def score_on_success(scored: DataFrame) -> DataFrame:
 
 def edit_distances(df: DataFrame, pred: str = "raw_prediction") -> DataFrame:
     """Adds edit distance and fuzzy ratio of the normalised prediction and gold."""
-    task = F.col("task")
-    sides = df.withColumns(
-        {
-            "_p": join_list(
-                metrics.normalised_answer(_as_text(df, pred), task), ", "
-            ),
-            "_g": join_list(
-                metrics.normalised_answer(_as_text(df, "answer"), task), ", "
-            ),
-        }
-    )
+    sides = metrics.with_normalised(
+        df, {"_pl": _as_text(df, pred), "_gl": _as_text(df, "answer")}
+    ).withColumns({"_p": join_list(F.col("_pl"), ", "), "_g": join_list(F.col("_gl"), ", ")})
     return sides.withColumns(
         {
             "edit_distance": metrics.edit_distance(F.col("_p"), F.col("_g")),
             "fuzzy_ratio": metrics.fuzzy_ratio(F.col("_p"), F.col("_g")),
         }
-    ).drop("_p", "_g")
+    ).drop("_p", "_g", "_pl", "_gl")
 
 
 def score_with_context(df: DataFrame, mode: str = "as_documented") -> DataFrame:
