@@ -217,13 +217,13 @@ def running_score(
     level, and a row adds up what lies before it on all three. Rows need a run and an id.
     """
     keys = list(keys)
-    # Non-null ids spare the joins below their own null filters, so all three levels
-    # read the same exchange of the rows.
+    # The coalesce tells the optimizer that no block number is null. Without it each
+    # join below filters its own level, and the levels cannot share the row exchange.
     placed = results.where(F.col("id").isNotNull())
     rows = placed.groupBy(*keys, "id").agg(
         F.sum("score").alias("s"), F.count("score").alias("n")
     )
-    fine = F.shiftright("id", block_bits)
+    fine = F.shiftright(F.coalesce("id", F.lit(0)), block_bits)
     coarse = F.shiftright("fine", block_bits)
     rows = rows.withColumn("fine", fine)
 

@@ -27,12 +27,14 @@ def score_answers(
     df: DataFrame,
     mode: str = "as_documented",
     registry: dict[str, Metric] | None = None,
+    distances: bool = False,
 ) -> DataFrame:
     """Result rows with processed_prediction, score, success, status.
 
     Input: task, answer (gold), raw_prediction and optionally success. A row whose
     call failed or whose answer cannot be normalised scores 0.0 with success false
     and has no prediction texts. ``registry`` adds or replaces metrics by task.
+    ``distances`` adds edit distance and fuzzy ratio of the normalised texts.
     """
     chosen = {**metrics.metric_registry(mode), **(registry or {})}
     task = F.col("task")
@@ -43,6 +45,8 @@ def score_answers(
         df.withColumn("_called", called),
         {"_pred": _as_text(df, "raw_prediction"), "_gold": _as_text(df, "answer")},
     )
+    if distances:
+        prepared = _with_texts(prepared)
     ok = F.col("_called") & F.col("_pred").isNotNull() & F.col("_gold").isNotNull()
     if check_mode(mode) == "as_coded":
         # This task yields lists, which its (default) text metric cannot compare.
@@ -67,6 +71,14 @@ def score_answers(
         F.when(ok, F.coalesce(score, F.lit(0.0))).otherwise(0.0).alias("score"),
         ok.alias("success"),
         status.alias("status"),
+        *(_distance_columns("_pred", "_gold") if distances else ()),
+    )
+
+
+def _with_texts(prepared: DataFrame) -> DataFrame:
+    """List answers as one text each, for distances."""
+    return prepared.withColumns(
+        {f"{c}_text": join_list(F.col(c), ", ") for c in ("_pred", "_gold")}
     )
 
 
@@ -75,25 +87,30 @@ def score_on_success(scored: DataFrame) -> DataFrame:
     return scored.withColumn("score_on_success", F.when(F.col("success"), F.col("score")))
 
 
+def _distance_columns(pred: str, gold: str) -> tuple[Column, Column]:
+    sides = F.col(f"{pred}_text"), F.col(f"{gold}_text")
+    return (
+        metrics.edit_distance(*sides).alias("edit_distance"),
+        metrics.fuzzy_ratio(*sides).alias("fuzzy_ratio"),
+    )
+
+
 def edit_distances(df: DataFrame, pred: str = "raw_prediction") -> DataFrame:
     """Adds edit distance and fuzzy ratio of the normalised prediction and gold."""
-    sides = metrics.with_normalised(
-        df, {"_pl": _as_text(df, pred), "_gl": _as_text(df, "answer")}
-    ).withColumns({"_p": join_list(F.col("_pl"), ", "), "_g": join_list(F.col("_gl"), ", ")})
-    return sides.withColumns(
-        {
-            "edit_distance": metrics.edit_distance(F.col("_p"), F.col("_g")),
-            "fuzzy_ratio": metrics.fuzzy_ratio(F.col("_p"), F.col("_g")),
-        }
-    ).drop("_p", "_g", "_pl", "_gl")
+    sides = _with_texts(
+        metrics.with_normalised(
+            df, {"_pred": _as_text(df, pred), "_gold": _as_text(df, "answer")}
+        )
+    )
+    return sides.select(*df.columns, *_distance_columns("_pred", "_gold"))
 
 
 def score_with_context(df: DataFrame, mode: str = "as_documented") -> DataFrame:
     """Task score, edit distance, fuzzy ratio and, with vectors present, cosine."""
-    wide = edit_distances(df)
+    scored = score_answers(df, mode, distances=True)
     if {"pred_vector", "gold_vector"} <= set(df.columns):
-        wide = wide.withColumn(
+        scored = scored.withColumn(
             "cosine_similarity",
             vectors.cosine(F.col("pred_vector"), F.col("gold_vector")),
         )
-    return score_answers(wide, mode)
+    return scored
