@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from evalspark.functions import vectors
 
@@ -155,6 +155,10 @@ def _scan_with_shared(head, docs: DataFrame, k: int, result_type) -> DataFrame:
     return docs.mapInPandas(scan, result_type)
 
 
+def _numbers(count: int) -> Column:
+    return F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))
+
+
 def _compare_blocks(
     queries: DataFrame, docs: DataFrame, k: int, block_rows: int, result_type
 ) -> DataFrame:
@@ -163,11 +167,11 @@ def _compare_blocks(
     spread_queries = queries.select(
         "*",
         F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("long").alias("shard"),
+        F.explode(_numbers(shards)).alias("shard"),
     )
     spread_docs = docs.select(
         "*",
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("block"),
+        F.explode(_numbers(blocks)).alias("block"),
         F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard"),
     )
 

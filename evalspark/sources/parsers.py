@@ -36,13 +36,43 @@ def with_serial_ids(rows: DataFrame, positions: list[str]) -> DataFrame:
     )
 
 
+def last_wins(json_map: Column) -> Column:
+    """Entries of a parsed JSON object; of a repeated key the last value counts.
+
+    The key keeps the place where it first stood. Only an object that does repeat a
+    key pays for the search through its entries.
+    """
+    entries, keys = F.map_entries(json_map), F.map_keys(json_map)
+    distinct = F.array_distinct(keys)
+
+    def latest(key: Column) -> Column:
+        same = F.filter(entries, lambda e: e["key"] == key)
+        return F.try_element_at(same, F.lit(-1))
+
+    return F.when(F.array_size(distinct) == F.array_size(keys), entries).otherwise(
+        F.transform(distinct, latest)
+    )
+
+
 def _nested_rows(docs: DataFrame, schema: str) -> DataFrame:
     """(path, value) -> (path, task_pos, task, question_pos, question, item)."""
     return (
-        docs.select("path", F.posexplode(F.from_json("value", schema)))
-        .toDF("path", "task_pos", "task", "questions")
-        .select("path", "task_pos", "task", F.posexplode("questions"))
-        .toDF("path", "task_pos", "task", "question_pos", "question", "item")
+        docs.select("path", F.from_json("value", schema).alias("doc"))
+        .select("path", F.posexplode(last_wins(F.col("doc"))).alias("task_pos", "t"))
+        .select(
+            "path",
+            "task_pos",
+            F.col("t.key").alias("task"),
+            F.posexplode(last_wins(F.col("t.value"))).alias("question_pos", "q"),
+        )
+        .select(
+            "path",
+            "task_pos",
+            "task",
+            "question_pos",
+            F.col("q.key").alias("question"),
+            F.col("q.value").alias("item"),
+        )
     )
 
 
@@ -57,10 +87,9 @@ def parse_nested_qa(docs: DataFrame) -> DataFrame:
 def parse_question_list(docs: DataFrame) -> DataFrame:
     """Typed question lists -> (id, task, question, answer, answers)."""
     rows = (
-        docs.select("path", F.posexplode(F.from_json("value", QUESTION_LIST)))
-        .toDF("path", "list_pos", "name", "questions")
-        .select("path", "list_pos", F.posexplode("questions"))
-        .toDF("path", "list_pos", "question_pos", "q")
+        docs.select("path", F.from_json("value", QUESTION_LIST).alias("doc"))
+        .select("path", F.posexplode(last_wins(F.col("doc"))).alias("list_pos", "l"))
+        .select("path", "list_pos", F.posexplode("l.value").alias("question_pos", "q"))
     )
     answers = F.col("q.ideal_answer")
     shaped = rows.select(
@@ -102,10 +131,9 @@ def parse_search_docs(docs: DataFrame, k: int | None = None) -> DataFrame:
 
 def _summary_rows(docs: DataFrame) -> DataFrame:
     """Reply -> (uid, item) without the reply's own list of uids."""
-    results = F.from_json("value", SUMMARY)["result"]
     return (
-        docs.select(F.explode(results))
-        .toDF("uid", "item")
+        docs.select(F.from_json("value", SUMMARY)["result"].alias("result"))
+        .select(F.inline(last_wins(F.col("result"))).alias("uid", "item"))
         .where(F.col("uid") != "uids")
     )
 

@@ -56,7 +56,6 @@ def write_results(
         quote='"',
         escape='"',
         nullValue=null_token,
-        emptyValue="",
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )
