@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from evalspark.functions import fixed
-from evalspark.functions.text import drop_answer_prefix, last_token, strip
+from evalspark.functions.text import drop_answer_prefix, last_token, let, strip
 
 MODES = ("as_documented", "as_coded")
 Metric = Callable[[Column, Column], Column]
@@ -149,7 +149,7 @@ def set_recall(pred: Column, gold: Column) -> Column:
 
     # The sets are built once and handed to the rule as one value.
     sets = F.struct(label_set(pred).alias("p"), label_set(gold).alias("g"))
-    return F.get(F.transform(F.array(sets), recall), F.lit(0))
+    return let(sets, recall)
 
 
 def character_recall(pred: Column, gold: Column) -> Column:
@@ -169,12 +169,14 @@ def metric_registry(mode: str = "as_documented") -> dict[str, Metric]:
     coded = check_mode(mode) == "as_coded"
     registry: dict[str, Metric] = {
         fixed.TASK_GENE_DISEASE: set_recall,
-        fixed.TASK_GENE_LOCATION: (
-            _on_text(character_recall) if coded else set_recall
-        ),
         fixed.TASK_ALIGNMENT: _on_text(region_match),
     }
-    if not coded:
+    if coded:
+        # A location is one text, whose "set" is its characters.
+        registry[fixed.TASK_GENE_LOCATION] = _on_text(character_recall)
+    else:
+        # One location against one location: set recall and exact match agree there,
+        # so only the list task needs the set metric.
         registry[fixed.TASK_DISEASE_LOCATION] = set_recall
     return registry
 

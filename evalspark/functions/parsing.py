@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, functions as F
 
 from evalspark.functions import fixed
-from evalspark.functions.text import strip
+from evalspark.functions.text import let, strip
 
 
 # --- reasoning and fence ----------------------------------------------------------
@@ -108,34 +108,39 @@ _TYPE_NAMES = {
 }
 
 
-def _field(value: Column, field: str, kind: str) -> Column:
-    return F.try_variant_get(value, f"$.{field}", kind)
-
-
 def rule_violation(value: Column, rule: Rule) -> Column:
     """Text ``field: problem`` for the first broken part of a rule, else null."""
-    raw = _field(value, rule.field, "variant")
-    absent = raw.isNull()
-    empty = F.is_variant_null(raw)
-    type_name = F.schema_of_variant(raw)
-    right_type = F.lit(False)
-    for name in _TYPE_NAMES[rule.kind]:
-        right_type = right_type | type_name.startswith(name)
-    text = _field(value, rule.field, "string")
 
     def problem(what: str) -> Column:
         return F.lit(f"{rule.field}: {what}")
 
-    chain = F.when(absent, problem("missing") if rule.required else F.lit(None))
-    chain = chain.when(empty, problem("type") if rule.required else F.lit(None))
-    chain = chain.when(~right_type, problem("type"))
-    if rule.enum is not None:
-        chain = chain.when(~text.isin(*rule.enum), problem("enum"))
-    if rule.pattern is not None:
-        chain = chain.when(~text.rlike(rule.pattern), problem("pattern"))
-    if rule.min_length is not None:
-        chain = chain.when(F.char_length(text) < rule.min_length, problem("length"))
-    return chain
+    def check(found: Column) -> Column:
+        raw, type_name, text = found["raw"], found["type"], found["text"]
+        right_type = F.lit(False)
+        for name in _TYPE_NAMES[rule.kind]:
+            right_type = right_type | type_name.startswith(name)
+        chain = F.when(raw.isNull(), problem("missing") if rule.required else F.lit(None))
+        # VOID is the type of a JSON null.
+        chain = chain.when(
+            type_name == "VOID", problem("type") if rule.required else F.lit(None)
+        )
+        chain = chain.when(~right_type, problem("type"))
+        if rule.enum is not None:
+            chain = chain.when(~text.isin(*rule.enum), problem("enum"))
+        if rule.pattern is not None:
+            chain = chain.when(~text.rlike(rule.pattern), problem("pattern"))
+        if rule.min_length is not None:
+            chain = chain.when(
+                F.char_length(text) < rule.min_length, problem("length")
+            )
+        return chain
+
+    raw = F.try_variant_get(value, f"$.{rule.field}", "variant")
+    text = F.try_variant_get(value, f"$.{rule.field}", "string")
+    found = F.struct(
+        raw.alias("raw"), F.schema_of_variant(raw).alias("type"), text.alias("text")
+    )
+    return let(found, check)
 
 
 def rule_violations(value: Column, rules: Sequence[Rule]) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from evalspark.functions import fixed
 from evalspark.functions.metrics import check_mode, common_name
-from evalspark.functions.text import first_group, strip
+from evalspark.functions.text import first_group
 
 
 def request_id(text: Column) -> Column:
@@ -49,18 +49,17 @@ def first_hit(text: Column) -> Column:
     return F.coalesce(first_group(text, pattern), F.lit(fixed.NOT_AVAILABLE))
 
 
-def organism(text: Column) -> Column:
-    """Common name of the first organism of the map that the hit line holds, else NA."""
-    line = first_hit(text)
+def organism(hit: Column) -> Column:
+    """Common name of the first organism of the map that a hit line holds, else NA."""
     chain = F
     for scientific, common in fixed.ORGANISMS.items():
-        chain = chain.when(line.contains(scientific) | line.contains(common), common)
+        chain = chain.when(hit.contains(scientific) | hit.contains(common), common)
     return chain.otherwise(fixed.NOT_AVAILABLE)
 
 
-def organism_by_pattern(text: Column) -> Column:
-    """Second form: the first *Genus species* of the hit line; unknown names stay."""
-    name = first_group(first_hit(text), fixed.SPECIES_PATTERN)
+def organism_by_pattern(hit: Column) -> Column:
+    """Second form: the first *Genus species* of a hit line; unknown names stay."""
+    name = first_group(hit, fixed.SPECIES_PATTERN)
     return F.coalesce(common_name(name), F.lit(fixed.NOT_AVAILABLE))
 
 
@@ -75,7 +74,3 @@ def failure_text(text: Column) -> Column:
     return F.when(
         state == "failed", F.lit(fixed.ERROR_PREFIX + fixed.REPORT_FAILED)
     ).when(state == "waiting", F.lit(fixed.ERROR_PREFIX + fixed.REPORT_TIMED_OUT))
-
-
-def stripped_hit(text: Column) -> Column:
-    return strip(first_hit(text))

@@ -2,20 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from evalspark.functions import fixed
 
 
+def let(value: Column, rule: Callable[[Column], Column]) -> Column:
+    """``rule(value)`` with the value computed once, however often the rule reads it.
+
+    A CASE repeats what its branches share; a lambda's argument is bound to its value.
+    """
+    return F.get(F.transform(F.array(value), rule), F.lit(0))
+
+
 def strip(text: Column) -> Column:
-    """Remove every kind of whitespace at both ends, not blanks alone."""
-    return F.btrim(text, F.lit(fixed.WHITESPACE))
+    """Remove every kind of whitespace at both ends, not blanks alone.
+
+    Most texts have none. A look at the two end characters spares those the general
+    trim, which walks the text character by character.
+    """
+    space = list(fixed.WHITESPACE)
+    needed = F.substring(text, 1, 1).isin(space) | F.substring(text, -1, 1).isin(space)
+    return F.when(needed, F.btrim(text, F.lit(fixed.WHITESPACE))).otherwise(text)
 
 
 def last_token(text: Column) -> Column:
     """Last whitespace-separated word; null when the text has none."""
-    words = F.split(strip(text), f"[{fixed.WHITESPACE}]+")
-    return F.nullif(F.try_element_at(words, F.lit(-1)), F.lit(""))
+    blanks = F.translate(strip(text), fixed.WHITESPACE, " " * len(fixed.WHITESPACE))
+    return F.nullif(F.substring_index(blanks, " ", -1), F.lit(""))
 
 
 def first_group(text: Column, pattern: str) -> Column:

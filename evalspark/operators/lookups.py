@@ -148,22 +148,29 @@ def snp_chromosome_book(tables: Tables) -> DataFrame:
     return _book("snp_chr", tables["snp"], "rsid", _chromosome(F.col("chr")))
 
 
-def _report_book(kind: str, tables: Tables, value: Column) -> DataFrame:
+def _report_book(kind: str, df: DataFrame, value: Column) -> DataFrame:
     """Book over reports; a failed or unfinished report answers with its error text."""
-    text = F.col("report")
-    error = reports.failure_text(text)
+    read = df.select(
+        "sequence",
+        reports.failure_text(F.col("report")).alias("error"),
+        value.alias("value"),
+    )
     status = (
-        F.when(error.isNotNull(), "error").when(value == NA, "missing").otherwise("ok")
+        F.when(F.col("error").isNotNull(), "error")
+        .when(F.col("value") == NA, "missing")
+        .otherwise("ok")
     )
-    return _book(kind, tables["reports"], "sequence", F.coalesce(error, value), status)
+    return _book(kind, read, "sequence", F.coalesce("error", "value"), status)
 
 
 def region_book(tables: Tables, mode: str = "as_documented") -> DataFrame:
-    return _report_book("align", tables, reports.region(F.col("report"), mode))
+    region = reports.region(F.col("report"), mode)
+    return _report_book("align", tables["reports"], region)
 
 
 def organism_book(tables: Tables) -> DataFrame:
-    return _report_book("organism", tables, reports.organism(F.col("report")))
+    hits = tables["reports"].withColumn("hit", reports.first_hit(F.col("report")))
+    return _report_book("organism", hits, reports.organism(F.col("hit")))
 
 
 def sequence_alias_book(tables: Tables) -> DataFrame:

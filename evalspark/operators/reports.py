@@ -11,15 +11,16 @@ def parse_reports(
     df: DataFrame, column: str = "report", mode: str = "as_documented"
 ) -> DataFrame:
     """Every field of a report in one projection; the text itself is not kept."""
-    text = F.col(column)
+    text, hit = F.col(column), F.col("_hit")
     kept = [c for c in df.columns if c != column]
-    return df.select(
+    # The hit line is a column of its own: the organism rules read it many times.
+    return df.withColumn("_hit", reports.first_hit(text)).select(
         *kept,
         reports.request_id(text).alias("request_id"),
         reports.status(text).alias("status"),
         reports.region(text, mode).alias("region"),
-        reports.first_hit(text).alias("first_hit"),
-        reports.organism(text).alias("organism"),
-        reports.organism_by_pattern(text).alias("organism_name"),
+        hit.alias("first_hit"),
+        reports.organism(hit).alias("organism"),
+        reports.organism_by_pattern(hit).alias("organism_name"),
         reports.gene(text).alias("gene"),
     )

@@ -14,25 +14,33 @@ UNKNOWN = "unknown"
 ALL_KINDS = tuple(fixed.QUESTION_PATTERNS)
 
 
-def _documented(question: Column, kinds: Sequence[str]) -> tuple[Column, Column]:
+def _documented(items: DataFrame, kinds: Sequence[str]) -> DataFrame:
     """Kind by marker text and pattern, longer phrases first; argument = group 1."""
-    clean = question_key(question)
+    clean = F.col("_question")
     kind, argument = F, F
     for name, (marker, pattern) in fixed.QUESTION_PATTERNS.items():
         if name in kinds:
             # The plain text test spares the pattern on most rows.
             matches = clean.contains(marker) & clean.rlike(pattern)
             kind = kind.when(matches, F.lit(name))
-            argument = argument.when(matches, F.regexp_extract(clean, pattern, 1))
-    return kind.otherwise(UNKNOWN), argument.otherwise(F.lit(None).cast("string"))
+            argument = argument.when(
+                F.col("kind") == name, F.regexp_extract(clean, pattern, 1)
+            )
+    return (
+        items.withColumn("_question", question_key(F.col("question")))
+        .withColumn("kind", kind.otherwise(UNKNOWN))
+        .withColumn("arg", argument.otherwise(F.lit(None).cast("string")))
+        .drop("_question")
+    )
 
 
 def _piece(text: Column, separator: str, position: int) -> Column:
     return F.try_element_at(F.split(text, separator), F.lit(position))
 
 
-def _coded(question: Column, kinds: Sequence[str]) -> tuple[Column, Column]:
+def _coded(items: DataFrame, kinds: Sequence[str]) -> DataFrame:
     """The literal text rules: cuts at any occurrence of short words, fixed order."""
+    question = F.col("question")
     ends = F.lit("? ")
     snp = F.nullif(F.regexp_extract(question, fixed.SNP_PATTERN, 0), F.lit(""))
     after_colon = strip(_piece(question, ":", -1))
@@ -72,8 +80,10 @@ def _coded(question: Column, kinds: Sequence[str]) -> tuple[Column, Column]:
     for name, (test, value) in rules.items():
         if name in kinds:
             kind = kind.when(test, F.lit(name))
-            argument = argument.when(test, value)
-    return kind.otherwise(UNKNOWN), argument.otherwise(F.lit(None).cast("string"))
+            argument = argument.when(F.col("kind") == name, value)
+    return items.withColumn("kind", kind.otherwise(UNKNOWN)).withColumn(
+        "arg", argument.otherwise(F.lit(None).cast("string"))
+    )
 
 
 def route_questions(
@@ -83,5 +93,4 @@ def route_questions(
 ) -> DataFrame:
     """Adds ``kind`` and ``arg``. ``kinds`` narrows the rules (nine for single hop)."""
     route = _documented if check_mode(mode) == "as_documented" else _coded
-    kind, argument = route(F.col("question"), kinds)
-    return items.withColumns({"kind": kind, "arg": argument})
+    return route(items, kinds)
