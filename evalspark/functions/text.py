@@ -23,9 +23,10 @@ def strip(text: Column) -> Column:
     Most texts have none. A look at the two end characters spares those the general
     trim, which walks the text character by character.
     """
-    space = list(fixed.WHITESPACE)
-    needed = F.substring(text, 1, 1).isin(space) | F.substring(text, -1, 1).isin(space)
-    return F.when(needed, F.btrim(text, F.lit(fixed.WHITESPACE))).otherwise(text)
+    space = F.lit(fixed.WHITESPACE)
+    ends = F.substring(text, 1, 1), F.substring(text, -1, 1)
+    needed = (F.instr(space, ends[0]) > 0) | (F.instr(space, ends[1]) > 0)
+    return F.when(needed, F.btrim(text, space)).otherwise(text)
 
 
 def last_token(text: Column) -> Column:

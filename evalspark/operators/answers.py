@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from evalspark.functions import parsing
 from evalspark.functions.parsing import ANSWER_RULES, Rule
+from evalspark.operators.columns import with_computed
 
 
 # --- calling a function per row ----------------------------------------------------
@@ -98,9 +99,9 @@ def parse_structured(
 
     A rejected answer keeps its row, with empty texts in the string fields.
     """
-    value = F.try_parse_json(F.col(raw))
-    checked = df.withColumn("_value", value).withColumn(
-        "violations", parsing.rule_violations(F.col("_value"), rules)
+    parsed = with_computed(df, _value=F.try_parse_json(F.col(raw)))
+    checked = with_computed(
+        parsed, violations=parsing.rule_violations(F.col("_value"), rules)
     )
     ok = F.array_size("violations") == 0
     fields = [
@@ -125,8 +126,9 @@ def check_schema(
     df: DataFrame, rules: Sequence[Rule], raw: str = "raw"
 ) -> DataFrame:
     """Rows whose JSON breaks a rule, one row per violation (id, violation)."""
-    found = parsing.rule_violations(F.try_parse_json(F.col(raw)), rules)
-    return df.select("id", F.explode(found).alias("violation"))
+    parsed = with_computed(df, _value=F.try_parse_json(F.col(raw)))
+    found = parsing.rule_violations(F.col("_value"), rules)
+    return parsed.select("id", F.explode(found).alias("violation"))
 
 
 def first_valid_attempt(attempts: DataFrame, max_attempts: int) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -74,4 +75,14 @@ def drain_scoreboard(
         .start()
     )
     query.awaitTermination()
-    return results.sparkSession.read.parquet(f"{table}/batch={last['batch']}")
+    spark = results.sparkSession
+    if last:
+        return spark.read.parquet(f"{table}/batch={last['batch']}")
+    # Nothing new arrived: the table is what an earlier call left, or empty.
+    try:
+        earlier = spark.read.parquet(table)
+    except AnalysisException:
+        schema = stream_scoreboard(results, **options).schema
+        return spark.createDataFrame([], schema)
+    newest = earlier.agg(F.max("batch").alias("batch"))
+    return earlier.join(F.broadcast(newest), "batch").drop("batch")

@@ -231,6 +231,8 @@ def test_stream_equals_its_batch_twin(spark, tmp_path):
         return rows(df.select("window_start", "task", "items", F.round("success_rate", 9), F.round("score", 9)))
 
     assert shape(drained) == shape(batch)
+    again = streams.drain_scoreboard(stream, table, checkpoint)
+    assert shape(again) == shape(batch)
 
 
 def test_append_mode_writes_closed_windows_once(spark, tmp_path):

@@ -1,5 +1,6 @@
 """Normalisation and metrics, one case per rule."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,6 +153,17 @@ def test_registry_can_be_extended(spark):
         scored(spark, data, mode="other")
 
 
+def test_registry_takes_a_pandas_function(spark):
+    @F.pandas_udf("double")
+    def same_start(a: pd.Series, b: pd.Series) -> pd.Series:
+        return (a.str[:1] == b.str[:1]).astype("float64")
+
+    registry = {"start": lambda p, g: same_start(F.get(p, F.lit(0)), F.get(g, F.lit(0)))}
+    data = [(1, "start", "abc", "axx", True), (2, "start", "abc", "x", True)]
+    got = scored(spark, data, registry=registry).orderBy("id").collect()
+    assert [r["score"] for r in got] == [1.0, 0.0]
+
+
 def test_scores_with_context(spark):
     df = spark.createDataFrame(
         [(1, fixed.TASK_GENE_DISEASE, "A, B", "Answer: A, C", True, [1.0, 0.0], [1.0, 1.0])],

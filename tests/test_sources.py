@@ -97,6 +97,12 @@ def test_results_keep_na_nulls_and_newlines(spark, tmp_path):
         assert next(csv.reader(f))[:3] == ["id", "task", "question"]
 
 
+def test_item_lines(spark, tmp_path):
+    items = spark.createDataFrame([(1, "t", "q", "NA"), (2, "t", 'q"2', "x")], readers.ITEM_SCHEMA)
+    writers.write_items(items, str(tmp_path / "i"))
+    assert rows(readers.read_items(spark, str(tmp_path / "i"))) == rows(items)
+
+
 def test_results_table_is_partitioned(spark, tmp_path):
     df = spark.range(4).select("id", (F.col("id") % 2).alias("model"))
     path = str(tmp_path / "t")
