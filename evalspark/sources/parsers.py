@@ -15,24 +15,20 @@ SUMMARY = "struct<result:map<string,variant>>"
 LINKS = "struct<linksets:array<struct<linksetdbs:array<struct<dbto:string,links:array<string>>>>>>"
 
 
-def with_serial_ids(rows: DataFrame, positions: list[str]) -> DataFrame:
-    """Serial ``id`` from 0 in order of path and the position columns.
+def with_serial_ids(files: DataFrame) -> DataFrame:
+    """(path, rows array) -> (id, columns of the rows); ``id`` counts from 0 over files.
 
-    Rows are numbered inside their file; each file then starts after the rows of the
-    files before it. Only one count per file is ever ordered as a whole.
+    A row's place in its file comes from the array. Each file starts after the rows of
+    the files before it, in path order; only one count per file is ordered as a whole.
     """
-    inside = Window.partitionBy("path").orderBy(*positions)
     every_file = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        rows.groupBy("path")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select("path", F.coalesce(F.sum("rows").over(every_file), F.lit(0)).alias("start"))
+    starts = files.select("path", F.array_size("rows").alias("n")).select(
+        "path", F.coalesce(F.sum("n").over(every_file), F.lit(0)).alias("start")
     )
     return (
-        rows.withColumn("place", F.row_number().over(inside) - 1)
-        .join(starts, "path")
-        .withColumn("id", (F.col("start") + F.col("place")).cast("long"))
-        .drop("start", "place", *positions)
+        files.join(starts, "path")
+        .select("start", F.posexplode("rows").alias("place", "row"))
+        .select((F.col("start") + F.col("place")).cast("long").alias("id"), "row.*")
     )
 
 
@@ -55,60 +51,48 @@ def last_wins(json_map: Column) -> Column:
 
 
 def _nested_rows(docs: DataFrame, schema: str) -> DataFrame:
-    """(path, value) -> (path, task_pos, task, question_pos, question, item)."""
-    return (
-        docs.select("path", F.from_json("value", schema).alias("doc"))
-        .select("path", F.posexplode(last_wins(F.col("doc"))).alias("task_pos", "t"))
-        .select(
-            "path",
-            "task_pos",
-            F.col("t.key").alias("task"),
-            F.posexplode(last_wins(F.col("t.value"))).alias("question_pos", "q"),
-        )
-        .select(
-            "path",
-            "task_pos",
-            "task",
-            "question_pos",
-            F.col("q.key").alias("question"),
-            F.col("q.value").alias("item"),
+    """(path, value) -> (path, rows), rows being (task, question, item) in file order."""
+
+    def of_task(task: Column) -> Column:
+        return F.transform(
+            last_wins(task["value"]),
+            lambda q: F.struct(
+                task["key"].alias("task"),
+                q["key"].alias("question"),
+                q["value"].alias("item"),
+            ),
         )
-    )
+
+    doc = docs.select("path", F.from_json("value", schema).alias("doc"))
+    tasks = F.transform(last_wins(F.col("doc")), of_task)
+    return doc.select("path", F.flatten(F.array_compact(tasks)).alias("rows"))
 
 
 def parse_nested_qa(docs: DataFrame) -> DataFrame:
     """task -> question -> answer(s) documents -> (id, task, question, answers)."""
-    rows = _nested_rows(docs, NESTED).withColumn("answers", variant_to_list(F.col("item")))
-    return with_serial_ids(rows.drop("item"), ["task_pos", "question_pos"]).select(
-        "id", "task", "question", "answers"
+    return with_serial_ids(_nested_rows(docs, NESTED)).select(
+        "id", "task", "question", variant_to_list(F.col("item")).alias("answers")
     )
 
 
 def parse_question_list(docs: DataFrame) -> DataFrame:
     """Typed question lists -> (id, task, question, answer, answers)."""
-    rows = (
-        docs.select("path", F.from_json("value", QUESTION_LIST).alias("doc"))
-        .select("path", F.posexplode(last_wins(F.col("doc"))).alias("list_pos", "l"))
-        .select("path", "list_pos", F.posexplode("l.value").alias("question_pos", "q"))
-    )
-    answers = F.col("q.ideal_answer")
-    shaped = rows.select(
-        "path",
-        "list_pos",
-        "question_pos",
-        F.col("q.type").alias("task"),
-        F.col("q.body").alias("question"),
-        F.try_element_at(answers, F.lit(1)).alias("answer"),
-        answers.alias("answers"),
-    )
-    return with_serial_ids(shaped, ["list_pos", "question_pos"]).select(
-        "id", "task", "question", "answer", "answers"
+    doc = docs.select("path", F.from_json("value", QUESTION_LIST).alias("doc"))
+    lists = F.transform(last_wins(F.col("doc")), lambda entry: entry["value"])
+    rows = with_serial_ids(doc.select("path", F.flatten(F.array_compact(lists)).alias("rows")))
+    return rows.select(
+        "id",
+        F.col("type").alias("task"),
+        F.col("body").alias("question"),
+        F.try_element_at("ideal_answer", F.lit(1)).alias("answer"),
+        F.col("ideal_answer").alias("answers"),
     )
 
 
 def parse_paired(docs: DataFrame) -> DataFrame:
     """task -> question -> {predicted, true} -> (task, question, predicted, true)."""
-    return _nested_rows(docs, PAIRED).select(
+    rows = _nested_rows(docs, PAIRED).select(F.inline("rows"))
+    return rows.select(
         "task",
         "question",
         variant_to_list(F.col("item.predicted")).alias("predicted"),

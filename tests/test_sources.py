@@ -18,7 +18,7 @@ def put(path, text):
 def test_nested_benchmark(spark, tmp_path):
     first = {"Z task": {"q2": "a", "q1": ["b", "c"]}, "A task": {"q3": "NA", "q4": "[x]"}}
     put(tmp_path / "1.csv", json.dumps(first))
-    put(tmp_path / "2.csv", '{"T": {"k": "old", "l": "x", "k": "new"}, "E": {}, "N": {"n": null}}')
+    put(tmp_path / "2.csv", '{"T": {"k": "old", "l": "x", "k": "new"}, "E": {}, "X": null, "N": {"n": null}}')
     got = rows(readers.read_nested_qa(spark, str(tmp_path)), "id")
     assert got == [
         (0, "Z task", "q2", ["a"]),
@@ -36,7 +36,8 @@ def test_question_list(spark, tmp_path):
         "questions": [
             {"type": "summary", "body": "B1?", "ideal_answer": ["x", "y"], "id": "n"},
             {"type": "list", "body": "B2?", "ideal_answer": []},
-        ]
+        ],
+        "none": None,
     }
     path = put(tmp_path / "q.json", json.dumps(doc, indent=2))
     assert rows(readers.read_question_list(spark, path), "id") == [
