@@ -41,19 +41,12 @@ def strip_fence(raw: Column) -> Column:
 
 # --- tool calls ------------------------------------------------------------------------
 
-CALL_TYPE = (
-    "array<struct<name:string,parameters:map<string,string>,parameters_ok:boolean>>"
-)
-
-
 def tool_call_list(text: Column) -> Column:
     """Valid, non-empty call list -> array of calls; null = the text is an answer.
 
     A list counts only if it is a JSON *array* and each element is an object with
     both ``name`` and ``parameters``.
     """
-    value = F.try_parse_json(text)
-    calls = F.try_variant_get(value, "$", "array<variant>")
 
     def has_both(call: Column) -> Column:
         return (
@@ -69,12 +62,13 @@ def tool_call_list(text: Column) -> Column:
             parameters.isNotNull().alias("parameters_ok"),
         )
 
-    valid = (
-        F.ltrim(text).startswith("[")
-        & (F.array_size(calls) > 0)
-        & F.forall(calls, has_both)
-    )
-    return F.when(valid, F.transform(calls, shaped))
+    def valid_calls(calls: Column) -> Column:
+        valid = (F.array_size(calls) > 0) & F.forall(calls, has_both)
+        return F.when(valid, F.transform(calls, shaped))
+
+    # Only texts that can be a list are parsed.
+    parsed = F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
+    return F.when(text.rlike(r"^\s*\["), let(parsed, valid_calls))
 
 
 # --- schema rules ----------------------------------------------------------------------------

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from evalspark.functions import fixed, parsing
+from evalspark.operators.columns import with_computed
 
 
 @dataclass(frozen=True)
@@ -42,8 +43,9 @@ def _is_known(registry: Registry) -> Column:
 
 def extract_tool_calls(df: DataFrame, column: str = "answer") -> DataFrame:
     """Call lists -> one row per call (id, pos, name, parameters, parameters_ok)."""
-    calls = parsing.tool_call_list(parsing.strip_fence(F.col(column)))
-    return df.select("id", F.posexplode(calls).alias("pos", "call")).select(
+    text = df.select("id", parsing.strip_fence(F.col(column)).alias("_text"))
+    calls = parsing.tool_call_list(F.col("_text"))
+    return text.select("id", F.posexplode(calls).alias("pos", "call")).select(
         "id", "pos", "call.name", "call.parameters", "call.parameters_ok"
     )
 
@@ -65,11 +67,10 @@ def with_argument_errors(calls: DataFrame, registry: Registry) -> DataFrame:
     missing = F.array_except(_by_tool(registry, lambda t: t.required), given)
     extra = F.array_except(given, _by_tool(registry, lambda t: t.allowed))
     known = _is_known(registry)
-    checked = calls.withColumns(
-        {
-            "missing": F.when(known, missing).otherwise(_names(())),
-            "extra": F.when(known, extra).otherwise(_names(())),
-        }
+    checked = with_computed(
+        calls,
+        missing=F.when(known, missing).otherwise(_names(())),
+        extra=F.when(known, extra).otherwise(_names(())),
     )
     error = (
         F.when(~F.col("parameters_ok"), "invalid arguments")

@@ -155,13 +155,14 @@ def test_tool_calls_need_a_list_of_full_objects(spark):
         '[{"name":"a","parameters":null}]',
         '```json\n[{"name":"c","parameters":{"q":"v"}}]\n```',
         '[1, {"name":"a","parameters":{}}]',
+        '\n [{"name":"d","parameters":{}}] ',
     ]
     df = spark.createDataFrame(list(enumerate(texts_)), "id LONG, answer STRING")
     calls = toolcalls.extract_tool_calls(df)
     got = rows(calls.select("id", "pos", "name", F.to_json("parameters").alias("p"), "parameters_ok"))
-    assert [g[:3] for g in got] == [(0, 0, "a"), (0, 1, "b"), (5, 0, "a"), (6, 0, "c")]
+    assert [g[:3] for g in got] == [(0, 0, "a"), (0, 1, "b"), (5, 0, "a"), (6, 0, "c"), (8, 0, "d")]
     assert json.loads(got[0][3]) == {"k": "1", "z": "[1,2]"}
-    assert [g[4] for g in got] == [True, True, False, True]
+    assert [g[4] for g in got] == [True, True, False, True, True]
     assert rows(toolcalls.direct_answers(df).select("id")) == [(1,), (2,), (3,), (4,), (7,)]
 
 
