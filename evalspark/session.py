@@ -18,6 +18,8 @@ def local_session(cores: int | str = "*", name: str = "evalspark") -> SparkSessi
         .config("spark.sql.shuffle.partitions", str(count))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Of a repeated key in model output the last value counts.
+        .config("spark.sql.variant.allowDuplicateKeys", "true")
         .config("spark.driver.memory", os.environ.get("EVALSPARK_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
         .getOrCreate()

@@ -86,6 +86,11 @@ def test_parse_structured_is_strict(spark):
     assert answers.accepted(parsed).count() + answers.rejected(parsed).count() == raw.count()
 
 
+def test_repeated_keys_in_answers_keep_the_last(spark):
+    raw = texts(spark, '{"task":"t","question":"q","answer":"old","answer":"new"}')
+    assert answers.parse_structured(raw).first()["answer"] == "new"
+
+
 def test_schema_rules(spark):
     rules = [
         Rule("unit", enum=("bpm", "bps")),
