@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,15 +26,11 @@ def local_session(cores: int | str = "*", name: str = "evalspark") -> SparkSessi
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's shared checkpoint folder.
+    """A new folder below the shared folder that ``spark.checkpoint.dir`` names.
 
-    Without that setting, as in tests, a folder of this machine is used, which only a
-    local session can read back.
+    Without that setting it lies below the warehouse, which a cluster shares too.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="evalspark-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
