@@ -210,7 +210,8 @@ NUMBERS: tuple[tuple[str, Callable, re.Pattern], ...] = tuple(
         (
             "phone",
             phone,
-            r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,5}(?:[ .-]\d{2,5}){1,4}(?!\d)|\+\d{8,15}(?!\d)"
+            r"\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+            r"|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,8}(?:[ .-]\d{2,8}){0,4}(?!\.?\d)|\+\d{8,15}(?!\d)"
             r"|\(\d{3}\)[ ]?\d{3}[-. ]\d{4}(?!\d)|(?<![\d.-])\d{3}([-. ])\d{3}\1\d{4}(?![\d-])",
         ),
     )
