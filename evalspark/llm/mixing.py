@@ -210,10 +210,9 @@ def with_rates(rows: DataFrame, rates: DataFrame) -> DataFrame:
 
 def mix_rows(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as often as it is taken, in the columns of ``docs``."""
-    got = mixed(docs.select("*", F.struct("*").alias("_row")), **options)
-    times = F.when(F.col("size") > 0, (F.col("taken") / F.col("size")).cast("int")).otherwise(0)
-    return (
-        got.where("taken > 0")
-        .select("_row", F.explode(F.array_repeat(F.lit(0), times)))
-        .select("_row.*")
-    )
+    own = ["doc_id", "text", "source"]
+    rest = [F.col(c) for c in docs.columns if c not in own]
+    got = mixed(docs.select(*own, F.struct(F.lit(0).alias("_"), *rest).alias("_rest")), **options)
+    times = F.when(F.col("size") > 0, F.floor(F.try_divide("taken", "size")).cast("int")).otherwise(0)
+    copies = got.where("taken > 0").select(*own, "_rest", F.explode(F.array_repeat(F.lit(0), times)).alias("_copy"))
+    return copies.select(*[F.col(c if c in own else f"_rest.`{c}`") for c in docs.columns])
