@@ -9,11 +9,25 @@ import numpy as np
 
 from evalspark.llm.common import kept
 
-#: Words made of ASCII letters, with or without end marks: two pieces for the tokenizer.
-_PLAIN = re.compile(rb"([A-Za-z]+)([.,;:!?]*)\Z")
+#: Words of Latin letters, with or without end marks: two pieces for the tokenizer. These
+#: letters have one form and the same lower case everywhere.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([.,;:!?]*)\\Z")
 END_ID = 1
 
 
+def _shown_bytes() -> list[str]:
+    """Characters that byte-level vocabularies write bytes as.
+
+    Printable bytes of Latin-1 stand for themselves, the others follow from 256 on.
+    """
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b if b in own else next(rest)) for b in range(256)]
+
+
+_SHOWN = _shown_bytes()
+
+
 class _Words(dict):
     """Ids of each distinct word as bytes; a missing word is encoded when asked for."""
 
@@ -37,7 +51,7 @@ class WordCoder:
     little-endian integers of 16 bits, or 32 where the vocabulary needs them.
     """
 
-    def __init__(self, path: str, most_words: int = 400_000):
+    def __init__(self, path: str, most_words: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -49,22 +63,32 @@ class WordCoder:
         probe = "Ab \n'S cd. <|x|>  \t9é"
         if self._ids(probe) != [i for w in probe.split() for i in self._ids(w)]:
             raise ValueError(f"{path}: pieces may span white space")
-        self.model = self.tokenizer.model if self._ids("Abcd,.") == self._plain("abcd", ",.") else None
+        self.pieces: dict[str, bytes] = {}
+        probe = "Éabcdñß!,"
+        self.split = np.array(self._ids(probe), self.dtype).tobytes() == self._plain(_PLAIN.match(probe))
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _plain(self, *pieces: str) -> list[int]:
-        model = self.tokenizer.model
-        return [token.id for piece in pieces if piece for token in model.tokenize(piece)]
+    def _piece(self, piece: str) -> bytes:
+        """Ids of lower-case letters or of end marks, from the tokenizer's model alone."""
+        ids = self.pieces.get(piece)
+        if ids is None:
+            if len(self.pieces) >= self.most_words:
+                self.pieces.clear()
+            shown = piece if piece.isascii() else "".join(map(_SHOWN.__getitem__, piece.encode()))
+            found = [token.id for token in self.tokenizer.model.tokenize(shown)]
+            ids = self.pieces[piece] = np.array(found, self.dtype).tobytes()
+        return ids
+
+    def _plain(self, match: re.Match) -> bytes:
+        letters, marks = match.groups()
+        return self._piece(letters.lower()) + (self._piece(marks) if marks else b"")
 
     def word(self, word: bytes) -> bytes:
-        plain = _PLAIN.match(word) if self.model is not None else None
-        if plain:
-            ids = self._plain(plain[1].lower().decode(), plain[2].decode())
-        else:
-            ids = self._ids(word.decode())
-        return np.array(ids, self.dtype).tobytes()
+        text = word.decode()
+        plain = _PLAIN.match(text) if self.split else None
+        return self._plain(plain) if plain else np.array(self._ids(text), self.dtype).tobytes()
 
     def encode(self, text: bytes) -> bytes:
         """Ids of a UTF-8 text and the end id, as bytes of ``dtype``."""
