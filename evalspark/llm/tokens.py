@@ -51,7 +51,7 @@ class WordCoder:
     little-endian integers of 16 bits, or 32 where the vocabulary needs them.
     """
 
-    def __init__(self, path: str, most_words: int = 1_000_000):
+    def __init__(self, path: str, most_words: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
