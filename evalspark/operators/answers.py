@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import random
+import time
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from evalspark.functions import parsing
@@ -20,12 +22,16 @@ def batch_answer(
     answer: Callable[[dict], str],
     max_attempts: int = 1,
     partitions: int | None = None,
+    retry_on: tuple[type[BaseException], ...] = (Exception,),
+    delay: Callable[[int], float] | None = None,
 ) -> DataFrame:
     """Call ``answer(row)`` for each row; a failing row is marked, never raised.
 
-    Adds ``raw_prediction``, ``success``, ``attempts`` and ``error``. The number of
-    partitions is the number of calls in flight; set ``partitions`` to respect the
-    limit of a service.
+    Adds ``raw_prediction``, ``success``, ``attempts`` and ``error``; the input's own
+    columns pass through untouched. The number of partitions is the number of calls in
+    flight; set ``partitions`` to respect the limit of a service. Failures of the kinds
+    ``retry_on`` are tried again, after ``delay(attempt)`` seconds if given (see
+    :func:`doubling_delay`); others end the row at once.
     """
     if partitions is not None:
         items = items.repartition(partitions)
@@ -40,25 +46,37 @@ def batch_answer(
     )
 
     def ask(row: dict) -> tuple[str | None, bool, int, str | None]:
-        error = None
         for attempt in range(1, max_attempts + 1):
             try:
                 return answer(row), True, attempt, None
             except Exception as failure:  # one row's failure is a result, not a crash
                 error = f"{type(failure).__name__}: {failure}"
-        return None, False, max_attempts, error
+                if attempt == max_attempts or not isinstance(failure, retry_on):
+                    break
+                if delay is not None:
+                    time.sleep(delay(attempt))
+        return None, False, attempt, error
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kinds = [pa.string(), pa.bool_(), pa.int32(), pa.string()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            replies = [ask(row) for row in batch.to_dict("records")]
-            added = pd.DataFrame(
-                replies,
-                columns=["raw_prediction", "success", "attempts", "error"],
-                index=batch.index,
+            replies = [ask(row) for row in batch.to_pylist(maps_as_pydicts="lossy")]
+            added = [pa.array([r[i] for r in replies], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *added], names=[field.name for field in schema]
             )
-            yield pd.concat([batch, added], axis=1)
 
-    return items.mapInPandas(run, schema)
+    return items.mapInArrow(run, schema)
+
+
+def doubling_delay(first: float = 1.0, noise: float = 0.5) -> Callable[[int], float]:
+    """Seconds to wait after the n-th failure: ``first`` * 2^(n-1) and a random part."""
+
+    def delay(attempt: int) -> float:
+        return first * 2 ** (attempt - 1) + random.uniform(0, noise)
+
+    return delay
 
 
 def distinct_calls(
@@ -67,6 +85,7 @@ def distinct_calls(
     answer: Callable[[dict], str],
     max_attempts: int = 1,
     partitions: int | None = None,
+    **policy,
 ) -> DataFrame:
     """As :func:`batch_answer`, but one call per different input, joined back.
 
@@ -74,7 +93,7 @@ def distinct_calls(
     can split an input that holds a large share of the rows.
     """
     inputs = items.select(*keys).dropDuplicates(list(keys))
-    replies = batch_answer(inputs, answer, max_attempts, partitions)
+    replies = batch_answer(inputs, answer, max_attempts, partitions, **policy)
     # A join on the hash beside the keys keeps equal inputs together and makes the
     # reply side exchange on its own instead of reusing the distinct's layout.
     hashed = F.xxhash64(*keys).alias("input_hash")
@@ -97,7 +116,8 @@ def parse_structured(
 ) -> DataFrame:
     """JSON answer -> fields + ``success`` + ``violations``, one row per input row.
 
-    A rejected answer keeps its row, with empty texts in the string fields.
+    A rejected answer keeps its row, with the input's own values of the fields, such as
+    task and question of the item; fields that the input lacks are empty texts.
     """
     parsed = with_computed(df, _value=F.try_parse_json(F.col(raw)))
     checked = with_computed(
@@ -106,7 +126,7 @@ def parse_structured(
     ok = F.array_size("violations") == 0
     fields = [
         F.when(ok, F.try_variant_get(F.col("_value"), f"$.{r.field}", "string"))
-        .when(~ok, F.lit(""))
+        .when(~ok, F.col(r.field).cast("string") if r.field in df.columns else F.lit(""))
         .alias(r.field)
         for r in rules
     ]

@@ -55,8 +55,12 @@ def distinct_labels(df: DataFrame, column: str = "answers") -> DataFrame:
 
 
 def shared_labels(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Label rows found in both tables, once each."""
-    return a.intersect(b)
+    """Label rows found in both tables, once each.
+
+    Both sides lose their repeats before the shuffle that compares them, so a label that
+    most rows have is one row of each task.
+    """
+    return a.distinct().intersect(b.distinct())
 
 
 def route_model(

@@ -28,20 +28,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from evalspark.functions import fixed, reports
 from evalspark.functions.metrics import check_mode
-from evalspark.operators.ranking import (
-    GROUP_LIMIT,
-    first_present,
-    ordered_values,
-    top_candidates,
-)
+from evalspark.operators.columns import with_computed
+from evalspark.operators.ranking import first_present, ordered_values, top_candidates
 from evalspark.operators.routing import ALL_KINDS, UNKNOWN, route_questions
 
 Tables = Mapping[str, DataFrame]
 
-#: Names that one answer text may list; a key with more is answered in rows. With one
-#: more it is still short enough for the group limit that runs before the shuffle.
-LIST_LIMIT = GROUP_LIMIT - 1
-
 NA = fixed.NOT_AVAILABLE
 
 
@@ -68,7 +60,7 @@ def _first_gene(gene: DataFrame, key: str, value: str) -> DataFrame:
 
 def _alias_symbols(tables: Tables) -> DataFrame:
     """alias -> name of the first of its top hits that has a record."""
-    hits = top_candidates(tables["gene_alias"], fixed.ALIAS_HITS, ["alias"], "rnk")
+    hits = top_candidates(tables["gene_alias"], fixed.ALIAS_HITS, ["alias"], "rnk", ["uid"])
     records = tables["gene"].select("uid", F.coalesce("symbol", F.lit(NA)).alias("name"))
     found = hits.join(records, "uid", "left")
     return first_present(found, "name", ["alias"], "rnk")
@@ -76,7 +68,7 @@ def _alias_symbols(tables: Tables) -> DataFrame:
 
 def _disease_hits(tables: Tables, column: str) -> DataFrame:
     hits = top_candidates(
-        tables["gene_disease"], fixed.DISEASE_HITS, ["disease"], "rnk"
+        tables["gene_disease"], fixed.DISEASE_HITS, ["disease"], "rnk", ["uid"]
     )
     return hits.join(tables["gene"].select("uid", column), "uid", "left")
 
@@ -122,25 +114,18 @@ def snp_gene_rows(tables: Tables) -> DataFrame:
     )
 
 
-def snp_genes_book(tables: Tables, list_limit: int = LIST_LIMIT) -> DataFrame:
-    """rsid -> its gene names as one text.
-
-    A text holds at most ``list_limit`` names. Before the shuffle each rsid is cut to
-    one name more than that, which is enough to tell the long ones apart; they get
-    status ``long`` and no text, and :func:`snp_gene_rows` has all of their names.
-    """
-    bounded = top_candidates(tables["snp_gene"], list_limit + 1, ["rsid"], "rnk")
+def snp_genes_book(tables: Tables) -> DataFrame:
+    """rsid -> all its gene names as one text; lists are begun before the shuffle."""
     names = (
-        snp_gene_rows({**tables, "snp_gene": bounded})
+        snp_gene_rows(tables)
         .groupBy("rsid")
         .agg(ordered_values(F.col("rnk"), F.col("name")).alias("names"))
     )
-    is_long = F.array_size("names") > list_limit
     return names.select(
         F.lit("snp_gene").alias("kind"),
         F.col("rsid").alias("arg"),
-        F.when(~is_long, F.array_join("names", fixed.LIST_SEPARATOR)).alias("predicted"),
-        F.when(is_long, "long").otherwise("ok").alias("status"),
+        F.array_join("names", fixed.LIST_SEPARATOR).alias("predicted"),
+        F.lit("ok").alias("status"),
     )
 
 
@@ -174,13 +159,24 @@ def organism_book(tables: Tables) -> DataFrame:
 
 
 def sequence_alias_book(tables: Tables) -> DataFrame:
-    """sequence -> gene in its report -> symbol of that alias; failures give NA."""
+    """sequence -> gene in its report -> symbol of that alias; failures give NA.
+
+    Reports without a gene are answered aside; in the join they would all have one key.
+    A gene that many reports name is split, as both sides are exchanged for the join.
+    """
     ready = reports.failure_text(F.col("report")).isNull()
-    genes = tables["reports"].select(
-        "sequence", F.when(ready, reports.gene(F.col("report"))).alias("alias")
+    genes = with_computed(
+        tables["reports"].select("sequence", "report"),
+        alias=F.when(ready, reports.gene(F.col("report"))),
+    ).select("sequence", "alias")
+    key = F.xxhash64("alias").alias("alias_hash")
+    named = genes.where(F.col("alias").isNotNull()).select("*", key)
+    symbols = _alias_symbols(tables).select("*", key)
+    found = named.join(symbols, ["alias_hash", "alias"], "left").select("sequence", "name")
+    none = genes.where(F.col("alias").isNull()).select(
+        "sequence", F.lit(None).cast("string").alias("name")
     )
-    found = genes.join(_alias_symbols(tables), "alias", "left")
-    return _book("seq_alias", found, "sequence", F.col("name"))
+    return _book("seq_alias", found.unionByName(none), "sequence", F.col("name"))
 
 
 def disease_locations_book(tables: Tables) -> DataFrame:
@@ -248,9 +244,9 @@ def look_up(questions: DataFrame, book: DataFrame) -> DataFrame:
     right = book.select("*", key)
     joined = left.join(right, ["arg_hash", "kind", "arg"], "left")
     unknown = F.col("kind") == UNKNOWN
-    predicted = F.when(unknown, F.lit(fixed.UNKNOWN_QUESTION)).when(
-        F.coalesce(F.col("status") == "long", F.lit(False)), F.lit(None)
-    ).otherwise(F.coalesce("predicted", F.lit(NA)))
+    predicted = F.when(unknown, F.lit(fixed.UNKNOWN_QUESTION)).otherwise(
+        F.coalesce("predicted", F.lit(NA))
+    )
     status = F.when(unknown, "unknown").otherwise(
         F.coalesce("status", F.lit("missing"))
     )

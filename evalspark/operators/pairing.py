@@ -7,9 +7,17 @@ from pyspark.sql import DataFrame, functions as F
 from evalspark.functions import fixed, text
 
 
-def pair_by_id(pred: DataFrame, gold: DataFrame) -> DataFrame:
-    """Predictions with the gold answer of the same id -> (…, gold_answer)."""
-    return pred.join(gold.select("id", F.col("answer").alias("gold_answer")), "id")
+def pair_by_id(pred: DataFrame, gold: DataFrame, how: str = "inner") -> DataFrame:
+    """Predictions with the gold answer of the same id -> (…, gold_answer).
+
+    With ``how="left"`` a prediction without gold keeps its row, with a ``note``.
+    """
+    answer = gold.select("id", F.col("answer").alias("gold_answer"), F.lit(True).alias("_found"))
+    joined = pred.join(answer, "id", how)
+    if how == "left":
+        note = F.when(F.col("_found").isNull(), F.lit(fixed.NO_GOLD_NOTE))
+        joined = joined.withColumn("note", note)
+    return joined.drop("_found")
 
 
 def gold_by_question(gold: DataFrame) -> DataFrame:

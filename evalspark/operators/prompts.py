@@ -8,10 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from evalspark.functions import fixed
 from evalspark.functions.text import fill
-from evalspark.operators.joins import broadcast_if_small
 
-#: Example sets that are broadcast; a set is bounded by ``max_messages``.
-MAX_BROADCAST_SETS = 1000
 MESSAGE_TYPE = "array<struct<role:string,content:string>>"
 
 
@@ -26,25 +23,13 @@ def literal_messages(examples: Sequence[tuple[str, str]]) -> Column:
     return F.array(*[message(role, F.lit(text)) for role, text in examples])
 
 
-def few_shot_array(
-    examples: DataFrame, set_column: str = "example_set", max_messages: int = 1000
-) -> DataFrame:
+def few_shot_array(examples: DataFrame, set_column: str = "example_set") -> DataFrame:
     """Example rows (set, pos, role, content) -> one ordered message array per set.
 
-    A prompt holds a bounded number of messages. A set that is longer fails the job
-    with its position instead of building an array of unknown size.
+    A set is one prompt, thus one row; its array is begun before the shuffle.
     """
-    within = F.when(
-        F.col("pos") >= max_messages,
-        F.raise_error(
-            F.concat(
-                F.lit("example set too long at position "),
-                F.col("pos").cast("string"),
-            )
-        ).cast("bigint"),
-    ).otherwise(F.col("pos").cast("bigint"))
     ordered = F.array_sort(
-        F.collect_list(F.struct(within.alias("pos"), "role", "content"))
+        F.collect_list(F.struct(F.col("pos").cast("bigint").alias("pos"), "role", "content"))
     )
     return examples.groupBy(set_column).agg(
         F.transform(
@@ -65,10 +50,12 @@ def build_messages(
     :func:`few_shot_array`, joined on its set column by equality.
     """
     if isinstance(examples, DataFrame):
-        # A few example sets serve all items; without the hint every item would be
-        # shuffled to the handful of tasks its set column has.
-        small = broadcast_if_small(examples, MAX_BROADCAST_SETS)
-        items = items.join(small, set_column, "left")
+        # Spark sends the sets to all tasks if they are small. Else the hash of the set
+        # makes both sides exchange for this join alone, so a set that many items use
+        # can be split.
+        key = F.xxhash64(set_column).alias("set_hash")
+        keyed = examples.select("*", key)
+        items = items.select("*", key).join(keyed, ["set_hash", set_column], "left")
         shots = F.coalesce(F.col("examples"), F.array().cast(MESSAGE_TYPE))
     else:
         shots = literal_messages(examples)

@@ -1,4 +1,4 @@
-"""Ranked hits: first k per query, first that has a value, bounded ordered lists."""
+"""Ranked hits: first k per query, first that has a value, ordered lists."""
 
 from __future__ import annotations
 
@@ -7,29 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-#: Longest list for which Spark puts its own group limit before the shuffle.
-GROUP_LIMIT = 1000
+#: Parts that the hits of one query are cut within first.
 SALTS = 64
 
 
 def top_candidates(
-    hits: DataFrame, k: int, query: Sequence[str] = ("query",), order: str = "rank"
+    hits: DataFrame,
+    k: int,
+    query: Sequence[str] = ("query",),
+    order: str = "rank",
+    ties: Sequence[str] = (),
 ) -> DataFrame:
-    """First ``k`` hits of each query in order.
+    """First ``k`` hits of each query in order, equal places by the columns ``ties``.
 
-    Spark turns the filter on ``row_number`` into a group limit that runs before the
-    shuffle, so a query with very many hits sends k rows per partition and no more.
-    Above Spark's bound for that, hits are first cut within 64 salted parts per query.
+    For every k, hits are cut within 64 salted parts per query and then per query, so no
+    task receives all hits of a query. Spark also puts a group limit before a shuffle
+    where k is small enough for it.
     """
-    if k > GROUP_LIMIT:
-        part = F.pmod(F.xxhash64(*hits.columns), F.lit(SALTS))
-        salted = hits.withColumn("_part", part)
-        hits = _first(salted, k, [*query, "_part"], order).drop("_part")
-    return _first(hits, k, query, order)
+    part = F.pmod(F.xxhash64(*query, order), F.lit(SALTS))
+    salted = hits.withColumn("_part", part)
+    hits = _first(salted, k, [*query, "_part"], [order, *ties]).drop("_part")
+    return _first(hits, k, query, [order, *ties])
 
 
-def _first(hits: DataFrame, k: int, query: Sequence[str], order: str) -> DataFrame:
-    window = Window.partitionBy(*query).orderBy(order)
+def _first(hits: DataFrame, k: int, query: Sequence[str], order: Sequence[str]) -> DataFrame:
+    window = Window.partitionBy(*query).orderBy(*order)
     return (
         hits.withColumn("_place", F.row_number().over(window))
         .where(F.col("_place") <= k)
@@ -51,7 +53,7 @@ def first_present(
 
 
 def ordered_values(order: Column, value: Column) -> Column:
-    """Non-null values in order, as an array; call it on a bounded group only."""
+    """Non-null values in order, as an array: one answer, thus one row."""
     pairs = F.collect_list(
         F.when(value.isNotNull(), F.struct(order.alias("o"), value.alias("v")))
     )

@@ -15,17 +15,19 @@ ALL_KINDS = tuple(fixed.QUESTION_PATTERNS)
 
 
 def _documented(items: DataFrame, kinds: Sequence[str]) -> DataFrame:
-    """Kind by marker text and pattern, longer phrases first; argument = group 1."""
+    """Kind by marker text, longer phrases first; argument = group 1 of the pattern.
+
+    A marked question that does not fit its pattern keeps its kind and has no argument.
+    """
     clean = F.col("_question")
     kind, argument = F, F
     for name, (marker, pattern) in fixed.QUESTION_PATTERNS.items():
         if name in kinds:
-            # The plain text test spares the pattern on most rows.
-            matches = clean.contains(marker) & clean.rlike(pattern)
-            kind = kind.when(matches, F.lit(name))
-            argument = argument.when(
-                F.col("kind") == name, F.regexp_extract(clean, pattern, 1)
-            )
+            kind = kind.when(clean.contains(marker), F.lit(name))
+            found = F.regexp_extract(clean, pattern, 1)
+            if name in fixed.SEQUENCE_KINDS:
+                found = F.regexp_replace(found, r"\s+|[.?]\s*$", "")
+            argument = argument.when(F.col("kind") == name, F.nullif(found, F.lit("")))
     return (
         items.withColumn("_question", question_key(F.col("question")))
         .withColumn("kind", kind.otherwise(UNKNOWN))

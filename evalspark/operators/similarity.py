@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from evalspark.functions import vectors
+from evalspark.functions import fixed, text, vectors
 
 
 def mean_pool(df: DataFrame, tokens: str = "tokens", mask: str = "mask") -> DataFrame:
@@ -36,11 +36,37 @@ def l2_normalise(df: DataFrame, vector: str = "vector") -> DataFrame:
 
 
 def embedding_similarity(pred: DataFrame, gold: DataFrame) -> DataFrame:
-    """(id, vector) ⋈ (id, vector) -> (id, cosine_similarity)."""
-    return (
-        pred.select("id", F.col("vector").alias("_p"))
-        .join(gold.select("id", F.col("vector").alias("_g")), "id")
-        .select("id", vectors.cosine(F.col("_p"), F.col("_g")).alias("cosine_similarity"))
+    """(id, vector) with (id, vector) of gold -> (id, cosine_similarity, note).
+
+    A prediction without a gold vector keeps its row, with a null similarity and a note.
+    """
+    joined = pred.select("id", F.col("vector").alias("_p")).join(
+        gold.select("id", F.col("vector").alias("_g"), F.lit(True).alias("_found")), "id", "left"
+    )
+    note = F.when(F.col("_found").isNull(), F.lit(fixed.NO_GOLD_NOTE))
+    return joined.select(
+        "id",
+        vectors.cosine(F.col("_p"), F.col("_g")).alias("cosine_similarity"),
+        note.alias("note"),
+    )
+
+
+def similarity_report(pred: DataFrame, gold: DataFrame) -> DataFrame:
+    """One row per prediction and gold answer to its question, none of them lost.
+
+    ``pred`` holds question, predicted_answer and vector, ``gold`` question, gold_answer
+    and vector. The result has question, predicted_answer, gold_answer,
+    cosine_similarity and note; a prediction without gold has nulls and a note.
+    """
+    key = text.question_key(F.col("question")).alias("_key")
+    found = gold.select(key, "gold_answer", F.col("vector").alias("_g"), F.lit(True).alias("_found"))
+    joined = pred.select("*", key).join(found, "_key", "left")
+    return joined.select(
+        "question",
+        "predicted_answer",
+        "gold_answer",
+        vectors.cosine(F.col("vector"), F.col("_g")).alias("cosine_similarity"),
+        F.when(F.col("_found").isNull(), F.lit(fixed.NO_GOLD_NOTE)).alias("note"),
     )
 
 
@@ -90,27 +116,29 @@ def _top_of_block(
     )
 
 
-def _keep_best(found: pd.DataFrame, k: int) -> pd.DataFrame:
-    ordered = found.sort_values(
-        ["query_id", "similarity", "doc_id"], ascending=[True, False, True]
+def usable(vector: Column) -> Column:
+    """Whether a vector is there and all its components are finite numbers."""
+    odd = F.exists(
+        vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
     )
-    return ordered.groupby("query_id", sort=False).head(k)
+    return F.coalesce(~odd, F.lit(False))
+
+
+def unusable_vectors(df: DataFrame, vector: str = "vector") -> DataFrame:
+    """Rows that :func:`retrieve_top_k` leaves out."""
+    return df.where(~usable(F.col(vector).cast("array<double>")))
 
 
 def retrieve_top_k(
-    queries: DataFrame,
-    docs: DataFrame,
-    k: int,
-    shared_queries: int = 4096,
-    block_rows: int = 50_000,
+    queries: DataFrame, docs: DataFrame, k: int, block_bytes: int = 8 << 20
 ) -> DataFrame:
     """Exact k nearest docs per query by cosine -> (query_id, doc_id, similarity, place).
 
-    Inputs are (query_id, vector) and (doc_id, vector). Up to ``shared_queries``
-    queries are sent to every task and the docs are read once, unshuffled. More
-    queries than that are cut into blocks, the docs into shards, and each task
-    compares one block with one shard. Either way a task gives out k rows per query,
-    never the compared pairs, and a group limit merges them.
+    Inputs are (query_id, vector) and (doc_id, vector). Vectors that are null or hold a
+    null or non-finite component take no part (see :func:`unusable_vectors`). Queries and
+    docs are cut into blocks of about ``block_bytes`` of vectors, and each task compares
+    one block of either side. It gives out k rows per query, never the compared pairs,
+    and a group limit merges them.
     """
     result_type = T.StructType(
         [
@@ -119,51 +147,31 @@ def retrieve_top_k(
             T.StructField("similarity", T.DoubleType()),
         ]
     )
-    docs = docs.select("doc_id", "vector")
-    queries = queries.select("query_id", "vector")
-    # The size check: never more than one row over the limit reaches the driver.
-    head = queries.limit(shared_queries + 1).collect()
-    if len(head) <= shared_queries:
-        if not head:
-            partial = queries.sparkSession.createDataFrame([], result_type)
-        else:
-            partial = _scan_with_shared(head, docs, k, result_type)
-    else:
-        partial = _compare_blocks(queries, docs, k, block_rows, result_type)
+    queries, docs = (
+        df.select(name, F.col("vector").cast("array<double>").alias("vector")).where(
+            usable(F.col("vector"))
+        )
+        for df, name in ((queries, "query_id"), (docs, "doc_id"))
+    )
+    partial = _compare_blocks(queries, docs, k, block_bytes, result_type)
     window = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "doc_id")
     return partial.withColumn("place", F.row_number().over(window)).where(
         F.col("place") <= k
     )
 
 
-def _scan_with_shared(head, docs: DataFrame, k: int, result_type) -> DataFrame:
-    ids = np.array([row["query_id"] for row in head])
-    unit = _unit_rows(np.array([row["vector"] for row in head], dtype="float64"))
-    shared = docs.sparkSession.sparkContext.broadcast((ids, unit))
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        query_ids, query_unit = shared.value
-        best = None
-        for batch in batches:
-            if len(batch):
-                found = _top_of_block(query_ids, query_unit, batch, k)
-                best = found if best is None else pd.concat([best, found])
-                best = _keep_best(best, k)
-        if best is not None:
-            yield best
-
-    return docs.mapInPandas(scan, result_type)
-
-
 def _numbers(count: int) -> Column:
     return F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))
 
 
 def _compare_blocks(
-    queries: DataFrame, docs: DataFrame, k: int, block_rows: int, result_type
+    queries: DataFrame, docs: DataFrame, k: int, block_bytes: int, result_type
 ) -> DataFrame:
-    blocks = max(1, -(-queries.count() // block_rows))
-    shards = max(1, -(-docs.count() // block_rows))
+    def blocks_of(df: DataFrame) -> int:
+        components = df.agg(F.sum(F.size("vector"))).first()[0] or 0
+        return max(1, -(-8 * components // block_bytes))
+
+    blocks, shards = blocks_of(queries), blocks_of(docs)
     spread_queries = queries.select(
         "*",
         F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("block"),
@@ -181,8 +189,10 @@ def _compare_blocks(
         found = []
         unit = _unit_rows(_stack(left["vector"]))
         ids = left["query_id"].to_numpy()
-        for start in range(0, len(left), 1024):
-            part = slice(start, start + 1024)
+        # As many similarities at a time as a block has components.
+        step = max(1, block_bytes // (8 * len(right)))
+        for start in range(0, len(left), step):
+            part = slice(start, start + step)
             found.append(_top_of_block(ids[part], unit[part], right, k))
         return pd.concat(found)
 

@@ -89,12 +89,10 @@ def bad_arguments(calls: DataFrame, registry: Registry) -> DataFrame:
     )
 
 
-def final_answer(
-    turns: DataFrame, max_turns: int = fixed.MAX_TURNS_HOSTED
-) -> DataFrame:
-    """Last non-empty assistant text with a turn under the cap, per conversation."""
+def final_answer(turns: DataFrame, max_turns: int | None = None) -> DataFrame:
+    """Last non-empty assistant text of each conversation, under a cap of turns if given."""
     usable = (
-        (F.col("turn") < max_turns)
+        (F.lit(True) if max_turns is None else F.col("turn") < max_turns)
         & (F.col("role") == "assistant")
         & (F.coalesce(F.col("text"), F.lit("")) != "")
     )

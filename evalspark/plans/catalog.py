@@ -24,7 +24,7 @@ from evalspark.operators import (
     toolcalls,
 )
 from evalspark.operators.toolcalls import Tool
-from evalspark.plans.tables import Tables, question_text
+from evalspark.plans.tables import Tables, part_disease, question_text
 from evalspark.session import scratch_path
 from evalspark.sources import parsers, readers, runs, writers
 from evalspark.streaming import scoreboard as streams
@@ -227,9 +227,8 @@ def metrics_of_tagged_runs(t: Tables) -> DataFrame:
 
 @query
 def search_reply_hits(t: Tables) -> DataFrame:
-    hits = ranking.top_candidates(t.gene_disease, 20, ["disease"], "rnk")
     quoted = F.concat(F.lit('"'), F.col("uid").cast("string"), F.lit('"'))
-    docs = hits.groupBy("disease").agg(
+    docs = t.gene_disease.groupBy("disease").agg(
         F.concat(
             F.lit('{"header": {}, "esearchresult": {"count": "9", "idlist": ['),
             _joined(ranking.ordered_values(F.col("rnk"), quoted), ","),
@@ -356,7 +355,7 @@ def question_keys(t: Tables) -> DataFrame:
 
 @query
 def flat_answers(t: Tables) -> DataFrame:
-    return items.flatten_answers(t.disease_gold).select("disease", "answer")
+    return items.flatten_answers(t.part_gold).select("disease", "answer")
 
 
 @query
@@ -534,6 +533,23 @@ def structured_answers(t: Tables) -> DataFrame:
     return parsed.select("id", "task", "question", "answer", "explanation", "success")
 
 
+@query
+def structured_success_by_task(t: Tables) -> DataFrame:
+    """Rejected answers count for the task of their item."""
+    asked = t.structured_raw.join(
+        t.read("events").select(F.col("event_id").alias("id"), F.col("event_type").alias("task")), "id"
+    )
+    return (
+        answers.parse_structured(asked)
+        .groupBy("task")
+        .agg(
+            F.count("*").alias("answers"),
+            F.count_if(~F.col("success")).alias("failures"),
+            _r6(F.avg(F.col("success").cast("int"))).alias("success_rate"),
+        )
+    )
+
+
 @query
 def structured_rejects(t: Tables) -> DataFrame:
     parsed = answers.parse_structured(t.structured_raw)
@@ -623,7 +639,12 @@ def tool_usage(t: Tables) -> DataFrame:
 
 @query
 def final_answers(t: Tables) -> DataFrame:
-    return toolcalls.final_answer(t.read("conversations"), max_turns=5)
+    return toolcalls.final_answer(t.read("conversations"))
+
+
+@query
+def final_answers_in_five_turns(t: Tables) -> DataFrame:
+    return toolcalls.final_answer(t.read("conversations"), fixed.MAX_TURNS_TEXT)
 
 
 # === reports ===================================================================================
@@ -835,14 +856,32 @@ def mean_cosine(t: Tables) -> DataFrame:
     return similarity.mean_cosine(similar).withColumn("mean_cosine", _r6("mean_cosine"))
 
 
+@query
+def similarity_report(t: Tables) -> DataFrame:
+    """Vectors against those after them; some questions have two gold answers or none."""
+    pred = t.vectors.select(
+        F.concat(F.lit("Question "), F.col("id").cast("string"), F.lit("?")).alias("question"),
+        F.concat(F.lit("label "), F.col("label").cast("string")).alias("predicted_answer"),
+        "vector",
+    )
+    nth = F.explode(F.when(F.col("id") % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    gold = t.next_vectors.where("id % 3 <> 0").select("*", nth.alias("nth")).select(
+        F.concat(F.lit(" Question "), F.col("id").cast("string"), F.lit("? ")).alias("question"),
+        F.concat(F.lit("gold "), F.col("nth").cast("string")).alias("gold_answer"),
+        "vector",
+    )
+    report = similarity.similarity_report(pred, gold)
+    return report.withColumn("cosine_similarity", _r6("cosine_similarity"))
+
+
 @query
 def scores_with_context(t: Tables) -> DataFrame:
     """Task score, edit distance, fuzzy ratio and cosine of the same rows."""
     pairs = t.vectors.withColumnRenamed("vector", "pred_vector").join(
-        t.next_vectors.withColumnRenamed("vector", "gold_vector"), "id"
+        t.next_vectors.withColumnRenamed("vector", "gold_vector"), "id", "left"
     )
     rows = t.preds.withColumn("vec", F.floor(F.col("id") / 10)).join(
-        pairs.withColumnRenamed("id", "vec"), "vec"
+        pairs.withColumnRenamed("id", "vec"), "vec", "left"
     )
     done = scoring.score_with_context(rows)
     return done.select(
@@ -879,8 +918,7 @@ def pairs_by_id(t: Tables) -> DataFrame:
 
 def _disease_predictions(t: Tables) -> DataFrame:
     """One answer per part to the question about its disease; some ask differently."""
-    disease = F.concat("p_brand", F.lit(" "), "p_type")
-    asked = question_text("disease_genes", disease)
+    asked = question_text("disease_genes", part_disease())
     return t.read("part").select(
         F.col("p_partkey").alias("id"),
         F.when(F.col("p_partkey") % 10 == 0, F.concat(asked, F.lit(" Really?")))
@@ -895,7 +933,7 @@ def _disease_predictions(t: Tables) -> DataFrame:
 
 
 def _disease_gold(t: Tables) -> DataFrame:
-    return t.disease_gold.select(
+    return t.part_gold.select(
         question_text("disease_genes", F.col("disease")).alias("question"), "answers"
     )
 
@@ -1035,11 +1073,12 @@ def pending_items(t: Tables) -> DataFrame:
 
 @query
 def running_scores(t: Tables) -> DataFrame:
-    results = t.run_results.withColumnRenamed("model", "run")
-    done = scoreboards.running_score(results, block_bits=8)
-    # Scores of four digits over small counts end in exact halves; the shift keeps
-    # those off the rounding edge.
-    return done.select("run", "id", "items", _r6(F.col("score") + 1e-9).alias("score"))
+    """Scores have four digits; as whole numbers their sums are exact."""
+    whole = F.round(F.col("score") * 10_000)
+    results = t.run_results.withColumnRenamed("model", "run").withColumn("score", whole)
+    done = scoreboards.running_score(results)
+    millionths = F.floor(F.col("score") * 100 + 0.5)
+    return done.select("run", "id", "items", (millionths / 1e6).alias("score"))
 
 
 # === ranking ====================================================================================

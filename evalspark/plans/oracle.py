@@ -308,11 +308,14 @@ CTES = {
     "disease_preds": f"""select p_partkey id, case p_partkey % 10 when 0 then q || ' Really?'
           when 1 then ' ' || q || ' {SUFFIX}' else q end question, 'GENE' || p_partkey predicted_answer,
           case p_partkey % 10 when 0 then q || ' Really?' else q end question_key
-        from (select *, 'What are genes related to ' || p_brand || ' ' || p_type || '?' q from part)""",
+        from (select *, 'What are genes related to ' || p_brand || ' ' || p_type || ' ' || p_partkey // 1000 || '?' q
+          from part)""",
+    "part_gold": """select p_brand || ' ' || p_type || ' ' || p_partkey // 1000 disease,
+        list('GENE' || p_partkey order by p_partkey) answers from part group by 1""",
     "disease_pairs": """select d.id, d.question_key, d.predicted_answer, g.gold_answer,
         case when g.gold_answer is null then 'No gold answer found' end note
         from disease_preds d left join
-          (select 'What are genes related to ' || disease || '?' k, unnest(answers) gold_answer from disease_gold) g
+          (select 'What are genes related to ' || disease || '?' k, unnest(answers) gold_answer from part_gold) g
         on d.question_key = g.k""",
     "scored_preds": SCORED_PREDS,
     "scored_mixed": SCORED_MIXED,
@@ -324,7 +327,7 @@ CTES = {
           else 1.0 - levenshtein(pt, gt)::double / greatest(length(pt), length(gt)) end ratio
         from (select id, task, case when raw_prediction is null then null else pt end pt, gt, score from texts)""",
     "cosines": """select a.id, list_cosine_similarity(a.v, b.v) c
-        from vectors a join vectors b on b.id = a.id + 1""",
+        from vectors a left join vectors b on b.id = a.id + 1""",
 }
 
 _ALL = ",\n".join(f"{name} as ({body})" for name, body in CTES.items())
@@ -421,7 +424,7 @@ _sql(
     "select id, task, round(score, 6) score from run_results where task <> 'error' and id % 10 <> 3",
 )
 _sql("question_keys", "select id, question_key from questions")
-_sql("flat_answers", "select disease, array_to_string(answers, ' ') answer from disease_gold")
+_sql("flat_answers", "select disease, array_to_string(answers, ' ') answer from part_gold")
 _sql(
     "list_literals",
     """select id, (case when id % 10 = 2 then 2 else 1 end)::int n,
@@ -576,6 +579,8 @@ _sql(
     bool_or(turn < 5 and role = 'assistant' and coalesce(text, '') <> '') answered
     from conversations group by conv_id""",
 )
+ORACLE["final_answers_in_five_turns"] = ORACLE["final_answers"]
+ORACLE["final_answers"] = ORACLE["final_answers"].replace("turn < 5 and ", "")
 
 # === reports ===
 for _name, _columns in {
@@ -688,15 +693,30 @@ _sql(
 _sql(
     "sentence_similarities",
     """select a.id, round(list_cosine_similarity(a.v, b.v), 6) cosine_similarity
-    from pooled_vectors a join pooled_vectors b on b.id = a.id + 1""",
+    from pooled_vectors a left join pooled_vectors b on b.id = a.id + 1""",
 )
 _sql("cosine_pairs", "select id, round(c, 6) cosine_similarity from cosines")
-_sql("mean_cosine", "select round(avg(c), 6) mean_cosine, count(*) pairs from cosines")
+_sql("mean_cosine", "select round(avg(c), 6) mean_cosine, count(c) pairs from cosines")
 _sql(
     "scores_with_context",
     """select d.id, score, d::int edit_distance,
     case when pt is null then null else round(ratio, 6) end fuzzy_ratio, round(c, 6) cosine_similarity
-    from distances d join cosines c on c.id = d.id // 10""",
+    from distances d left join cosines c on c.id = d.id // 10""",
+)
+_sql(
+    "similarity_report",
+    """select 'Question ' || a.id || '?' question, 'label ' || e.label predicted_answer, g.gold_answer,
+    case when g.id is not null then round(list_cosine_similarity(a.v, b.v), 6) end cosine_similarity,
+    case when g.id is null then 'No gold answer found' end note
+    from vectors a join embeddings e on e.vec_id = a.id left join (
+      select id - 1 id, 'gold ' || unnest(case when (id - 1) % 5 = 0 then [1, 2] else [1] end) gold_answer
+      from vectors where (id - 1) % 3 <> 0) g on g.id = a.id
+    left join vectors b on b.id = a.id + 1""",
+)
+_sql(
+    "structured_success_by_task",
+    """select event_type task, count(*) answers, count(*) filter (id % 6 < 3) failures,
+    round(avg((id % 6 >= 3)::int), 6) success_rate from structured_raw group by event_type""",
 )
 _sql(
     "nearest_vectors",
@@ -778,7 +798,8 @@ _sql(
 _sql("pending_items", "select id, task from preds where not success")
 _sql(
     "running_scores",
-    """select model run, id, count(*) over w items, round(avg(score) over w + 1e-9, 6) score from run_results
+    """select model run, id, count(*) over w items,
+    floor(sum(round(score * 10000)) over w / count(*) over w * 100 + 0.5) / 1e6 score from run_results
     window w as (partition by model order by id rows between unbounded preceding and current row)""",
 )
 

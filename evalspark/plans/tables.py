@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import cached_property, reduce
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -357,6 +357,15 @@ class Tables:
             ordered_values(F.col("rnk"), F.col("symbol")).alias("answers")
         )
 
+    @cached_property
+    def part_gold(self) -> DataFrame:
+        """Disease of a part -> the symbols of all parts that have it (array)."""
+        symbol = F.concat(F.lit("GENE"), _text("p_partkey"))
+        keyed = self.read("part").select(part_disease().alias("disease"), "p_partkey", symbol.alias("symbol"))
+        return keyed.groupBy("disease").agg(
+            ordered_values(F.col("p_partkey"), F.col("symbol")).alias("answers")
+        )
+
     # --- model texts ----------------------------------------------------------------------
 
     @cached_property
@@ -455,5 +464,10 @@ class Tables:
         return self.vectors.select((F.col("id") - 1).alias("id"), "vector")
 
 
-def union_all(*frames: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+def part_disease() -> Column:
+    """Disease of a part: brand, type and the thousand of its number.
+
+    The parts of one disease stay few however many parts there are.
+    """
+    thousand = F.floor(F.col("p_partkey") / 1000).cast("string")
+    return F.concat("p_brand", F.lit(" "), "p_type", F.lit(" "), thousand)

@@ -8,11 +8,19 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", name: str = "evalspark") -> SparkSession:
-    """Session for one machine; on a cluster the session comes from spark-submit."""
+def local_session(
+    cores: int | str = "*", name: str = "evalspark", scratch: str | None = None
+) -> SparkSession:
+    """Session for one machine; on a cluster the session comes from spark-submit.
+
+    ``scratch`` is its ``spark.checkpoint.dir``.
+    """
     count = os.cpu_count() if cores == "*" else int(cores)
+    builder = SparkSession.builder
+    if scratch:
+        builder = builder.config("spark.checkpoint.dir", scratch)
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", str(count))
         .config("spark.sql.session.timeZone", "UTC")

@@ -10,8 +10,7 @@ from evalspark.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(8, "tests")
-    session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
+    session = local_session(8, "tests", str(tmp_path_factory.mktemp("scratch")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from evalspark.functions import fixed, vectors
-from evalspark.operators import items, joins, judging, pairing, scoreboards, similarity
+from evalspark.operators import items, judging, pairing, scoreboards, similarity
 from evalspark.session import scratch_path
 from evalspark.streaming import scoreboard as streams
 from tests.conftest import rows
@@ -163,8 +163,8 @@ def test_mean_pool_and_cosine(spark):
     assert unit[1]["vector"] == [0.0, 0.0]
 
 
-@pytest.mark.parametrize("shared", [4096, 5])
-def test_nearest_vectors_against_brute_force(spark, shared):
+@pytest.mark.parametrize("block", [8 << 20, 4096])
+def test_nearest_vectors_against_brute_force(spark, block):
     rng = np.random.default_rng(3)
     docs = rng.normal(size=(300, 6)).round(3)
     docs[100:200] = docs[0]  # a third of the vectors are copies
@@ -173,7 +173,7 @@ def test_nearest_vectors_against_brute_force(spark, shared):
     queries[3] = docs[0]
     d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(docs)], "doc_id LONG, vector ARRAY<DOUBLE>")
     q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(queries)], "query_id LONG, vector ARRAY<DOUBLE>")
-    found = similarity.retrieve_top_k(q, d.repartition(6), 4, shared_queries=shared, block_rows=64)
+    found = similarity.retrieve_top_k(q, d.repartition(6), 4, block_bytes=block)
     got = {}
     for r in found.orderBy("query_id", "place").collect():
         got.setdefault(r["query_id"], []).append(r["doc_id"])
@@ -200,16 +200,6 @@ def test_sample_does_not_depend_on_partitions(spark):
     assert a == b and a != c and len(set(a)) == 20
 
 
-def test_broadcast_only_below_the_bound(spark):
-    def hinted(df):
-        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString() or "hint" in str(
-            df._jdf.queryExecution().logical().toString()
-        ).lower()
-
-    assert hinted(joins.broadcast_if_small(spark.range(5), 5))
-    assert not hinted(joins.broadcast_if_small(spark.range(6), 5))
-
-
 # --- streaming -----------------------------------------------------------------------------------------
 
 
