@@ -486,12 +486,10 @@ _sql(
 )
 _sql(
     "judge_prompts",
-    """select id, 'You are a domain expert grading an AI response.' || chr(10) || chr(10) ||
-    'Question:' || chr(10) || question || chr(10) || chr(10) || 'Candidate Answer:' || chr(10) ||
-    coalesce(raw_prediction, '') || chr(10) || chr(10) || 'Gold Standard Answer:' || chr(10) || answer ||
-    chr(10) || chr(10) || 'Rubric:' || chr(10) || 'Correctness of the answer.' || chr(10) || chr(10) ||
-    'Instructions:' || chr(10) || 'Score the candidate''s answer on a scale of 1 to 5 based on the rubric. ' ||
-    'Provide a justification for the score.' || chr(10) || 'Return your answer in this format:' || chr(10) ||
+    """select id, 'Grade one answer to a question.' || chr(10) || chr(10) || 'Question: ' || question || chr(10) ||
+    'Answer: ' || coalesce(raw_prediction, '') || chr(10) || 'Reference: ' || answer || chr(10) ||
+    'Rubric: Correctness of the answer.' || chr(10) || chr(10) ||
+    'Give 1 (worst) to 5 (best) and a reason, in these two lines:' || chr(10) ||
     'Score: X' || chr(10) || 'Explanation: ...' || chr(10) prompt from preds""",
 )
 _sql(

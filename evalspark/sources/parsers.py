@@ -36,17 +36,29 @@ def last_wins(json_map: Column) -> Column:
     """Entries of a parsed JSON object; of a repeated key the last value counts.
 
     The key keeps the place where it first stood. Only an object that does repeat a
-    key pays for the search through its entries.
+    key pays for the order of its keys, in which the places of a key are neighbours.
     """
     entries, keys = F.map_entries(json_map), F.map_keys(json_map)
     distinct = F.array_distinct(keys)
+    order = F.array_sort(F.transform(keys, lambda k, i: F.struct(k.alias("key"), i.alias("at"))))
 
-    def latest(key: Column) -> Column:
-        same = F.filter(entries, lambda e: e["key"] == key)
-        return F.try_element_at(same, F.lit(-1))
+    def merged(order: Column) -> Column:
+        def ends(step: int) -> Column:
+            """First (-1) or last (1) places of the keys."""
+            return F.filter(
+                order, lambda x, i: ~F.coalesce(F.get(order, i + step)["key"] == x["key"], F.lit(False))
+            )
 
+        both = F.zip_with(
+            ends(-1), ends(1), lambda a, b: F.struct(a["at"].alias("first"), b["at"].alias("last"))
+        )
+        return F.transform(F.array_sort(both), lambda x: F.struct(
+            F.get(keys, x["first"]).alias("key"), F.get(F.map_values(json_map), x["last"]).alias("value")
+        ))
+
+    # The one-element arrays bind what the rules above read many times.
     return F.when(F.array_size(distinct) == F.array_size(keys), entries).otherwise(
-        F.transform(distinct, latest)
+        F.get(F.transform(F.array(order), merged), F.lit(0))
     )
 
 

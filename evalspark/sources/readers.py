@@ -23,7 +23,6 @@ RESULT_SCHEMA = (
     "id LONG, task STRING, question STRING, answer STRING, raw_prediction STRING, "
     "processed_prediction STRING, score DOUBLE, success BOOLEAN"
 )
-MESSAGE_SCHEMA = "conv_id STRING, turn LONG, role STRING, text STRING"
 
 
 def read_documents(spark: SparkSession, path) -> DataFrame:

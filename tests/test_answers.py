@@ -267,7 +267,7 @@ def test_judge_and_pairwise_prompts(spark):
         items(spark), replies.select("id", F.col("answer").alias("candidate")), "be strict"
     )
     assert judged.count() == 4
-    assert all("Rubric:\nbe strict\n" in r["prompt"] for r in judged.collect())
+    assert all("Rubric: be strict\n" in r["prompt"] for r in judged.collect())
     pairs = prompts.pairwise_prompt(replies, "m1", "m2", "accuracy", items(spark)).collect()
     assert [(p["id"], p["model_a"], p["model_b"]) for p in pairs] == [(1, "m1", "m2")]
     assert "Response A:\nx\n" in pairs[0]["prompt"]

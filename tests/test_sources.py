@@ -215,3 +215,12 @@ def test_ids_run_on_over_files(spark, files):
     got = rows(parsers.parse_nested_qa(docs).select("id", "question"), "id")
     questions = [f"q{i}{j}" for i in range(files) for j in range(i + 1)]
     assert got == list(enumerate(questions))
+
+
+def test_repeated_keys_cost_no_search_of_all_entries(spark):
+    """20,000 questions, each twice: the last answer counts, at the place of the first."""
+    entries = [f'"q{i}": "{turn}{i}"' for turn in "ab" for i in range(20_000)]
+    docs = spark.createDataFrame([("p", '{"t": {' + ", ".join(entries) + "}}")], "path STRING, value STRING")
+    got = parsers.parse_nested_qa(docs).orderBy("id").collect()
+    assert len(got) == 20_000
+    assert [(r["question"], r["answers"]) for r in (got[0], got[-1])] == [("q0", ["b0"]), ("q19999", ["b19999"])]
