@@ -218,14 +218,128 @@ BOOKS: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+# --- two books from one pass over their tables ---------------------------------------------
+
+
+def _book_rows(df: DataFrame, key: str, *books: tuple[str, Column, Column | None]) -> DataFrame:
+    """As :func:`_book` for several (kind, value, status), from each row of ``df``."""
+    named = {f"_{kind}": value for kind, value, _ in books}
+    rows = []
+    computed = with_computed(df, **named)
+    for kind, _, status in books:
+        value = F.col(f"_{kind}")
+        found = F.when(value.isNull() | (value == NA), "missing").otherwise("ok")
+        rows.append(
+            F.struct(
+                F.lit(kind).alias("kind"),
+                F.col(key).alias("arg"),
+                F.coalesce(value, F.lit(NA)).alias("predicted"),
+                (found if status is None else status).alias("status"),
+            )
+        )
+    return computed.select(F.inline(F.array(*rows)))
+
+
+def _symbol_books(tables: Tables, mode: str) -> DataFrame:
+    keyed = tables["gene"].where(F.col("symbol").isNotNull())
+    first = keyed.groupBy("symbol").agg(
+        F.min_by("chromosome", "uid").alias("chromosome"),
+        F.min_by("gene_type", "uid").alias("gene_type"),
+    )
+    kind = F.nullif(F.btrim("gene_type"), F.lit(""))
+    coding = F.when(~kind.contains("non-protein"), F.lit(fixed.TRUE_TEXT))
+    return _book_rows(
+        first,
+        "symbol",
+        ("gene_chr", _chromosome(F.col("chromosome")), None),
+        ("coding", coding, None),
+    )
+
+
+def _disease_books(tables: Tables, mode: str) -> DataFrame:
+    hits = top_candidates(tables["gene_disease"], fixed.DISEASE_HITS, ["disease"], "rnk", ["uid"])
+    found = hits.join(tables["gene"].select("uid", "symbol", "chromosome"), "uid", "left")
+
+    def listed(value: Column) -> Column:
+        return F.array_join(ordered_values(F.col("rnk"), value), fixed.LIST_SEPARATOR)
+
+    lists = found.groupBy("disease").agg(
+        listed(F.col("symbol")).alias("names"),
+        listed(F.nullif(F.col("chromosome"), F.lit(""))).alias("places"),
+    )
+    empty = F.lit("")
+    return _book_rows(
+        lists,
+        "disease",
+        ("disease_genes", F.nullif(F.col("names"), empty), None),
+        ("disease_loc", F.nullif(F.col("places"), empty), None),
+    )
+
+
+def _snp_books(tables: Tables, mode: str) -> DataFrame:
+    linked = tables["snp_gene"].join(
+        tables["gene"].select("uid", "symbol", "summary"), "uid", "left"
+    )
+    name = F.coalesce("symbol", F.lit(NA))
+    present = F.col("summary").isNotNull() & (F.col("summary") != "")
+    lists = linked.groupBy("rsid").agg(
+        F.array_join(ordered_values(F.col("rnk"), name), fixed.LIST_SEPARATOR).alias("names"),
+        F.min_by("summary", F.when(present, F.col("rnk"))).alias("summary"),
+    )
+    return _book_rows(
+        lists,
+        "rsid",
+        ("snp_gene", F.col("names"), F.lit("ok")),
+        ("snp_fn", F.col("summary"), None),
+    )
+
+
+def _report_books(tables: Tables, mode: str) -> DataFrame:
+    read = with_computed(
+        tables["reports"],
+        error=reports.failure_text(F.col("report")),
+        hit=reports.first_hit(F.col("report")),
+        region=reports.region(F.col("report"), mode),
+    ).withColumn("species", reports.organism(F.col("hit")))
+
+    def status(value: str) -> Column:
+        return (
+            F.when(F.col("error").isNotNull(), "error")
+            .when(F.col(value) == NA, "missing")
+            .otherwise("ok")
+        )
+
+    return _book_rows(
+        read,
+        "sequence",
+        ("align", F.coalesce("error", "region"), status("region")),
+        ("organism", F.coalesce("error", "species"), status("species")),
+    )
+
+
+SHARED: dict[tuple[str, str], Callable[[Tables, str], DataFrame]] = {
+    ("gene_chr", "coding"): _symbol_books,
+    ("disease_genes", "disease_loc"): _disease_books,
+    ("snp_gene", "snp_fn"): _snp_books,
+    ("align", "organism"): _report_books,
+}
+
+
 def answer_book(
     tables: Tables,
     kinds: Sequence[str] = ALL_KINDS,
     mode: str = "as_documented",
 ) -> DataFrame:
+    """Books of several kinds as one; kinds that read the same tables share the pass."""
     check_mode(mode)
     builders = dict(BOOKS, align=lambda t: region_book(t, mode))
-    return reduce(DataFrame.unionByName, [builders[k](tables) for k in kinds])
+    left, parts = list(kinds), []
+    for pair, build in SHARED.items():
+        if set(pair) <= set(left):
+            parts.append(build(tables, mode))
+            left = [k for k in left if k not in pair]
+    parts += [builders[k](tables) for k in left]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- the join -----------------------------------------------------------------------------
