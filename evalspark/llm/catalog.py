@@ -121,4 +121,77 @@ from (select *, row_number() over (partition by query_id order by score desc, ve
 where rank <= 10
 """
 
-ORACLE: dict[str, str] = {"op8_warc": OP8_SQL, "op10_histogram_top_k": OP10_SQL}
+
+
+def _js(p: str, q: str) -> str:
+    """Jensen-Shannon distance of two lists of counts, rounded as the operator does."""
+
+    def part(x: str, y: str) -> str:
+        return f"case when {x} > 0 then {x} * log2(2 * {x} / ({x} + {y})) else 0 end"
+
+    x, y = (f"({v}[i] / nullif(list_sum({v}), 0)::double)" for v in (p, q))
+    terms = f"list_transform(range(1, len({p}) + 1), lambda i: ({part(x, y)} + {part(y, x)}) / 2)"
+    return f"round(sqrt(greatest(0, list_sum({terms}))), 6)"
+
+
+_COUNTS = [f"len(regexp_extract_all(text, '{c}'))" for c in quality.CLASSES]
+
+OP7_SQL = f"""
+with d as (
+    select doc_id, lang, coalesce(text, '') as text,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '{quality.SPACES}+'), lambda x: x <> '') as w
+    from documents
+), m as (
+    select *, [{", ".join(_COUNTS)}, length(text) - {" - ".join(_COUNTS)}] as classes,
+           list_filter(list_transform(w, lambda x: lower(x)), lambda x: length(x) <= {quality.COMMON_CHARS}) as short,
+           list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines
+    from d
+), x as (
+    select lang, classes, short, len(w) as n from m where lang is not null
+    union all select null, classes, short, len(w) from m
+), totals as (
+    select lang, [{", ".join(f"sum(classes[{i + 1}])::bigint" for i in range(len(_COUNTS) + 1))}] as rc,
+           sum(n)::bigint as n
+    from x group by lang
+), top as (
+    select lang, key, count(*) as n,
+           row_number() over (partition by lang order by count(*) desc, key) as place
+    from (select lang, unnest(short) as key from x) group by lang, key
+    qualify place <= {quality.COMMON}
+), common as (
+    select lang, list(key order by place) as rw, list(n order by place) as rn, sum(n)::bigint as s
+    from top group by lang
+), refs as (
+    select t.lang, rc, coalesce(rw, []) as rw, list_concat(coalesce(rn, []), [n - coalesce(s, 0)]) as rn
+    from totals t left join common c on t.lang is not distinct from c.lang
+), h as (
+    select m.*, rc, rw, rn, list_filter(short, lambda v: list_contains(rw, v)) as known
+    from m left join refs r on m.lang is not distinct from r.lang
+), j as (
+    select doc_id, w, lines, text, {_js("classes", "rc")} as js_chars, {_js("counts", "rn")} as js_words
+    from (select *, list_concat(list_transform(rw, lambda r: len(list_filter(known, lambda v: v = r))),
+                                [len(w) - len(known)]) as counts from h)
+), windows as (
+    select doc_id, i, count(*) over (partition by doc_id, w[i], w[i + 1], w[i + 2]) as n
+    from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from d)
+), repeated as (
+    select doc_id, count(distinct i + k) as n
+    from windows, (values (0), (1), (2)) as t(k) where n > 1 group by doc_id
+), base as (
+    select j.*, len(w) as n_words, coalesce(r.n, 0) as n_repeat_words from j left join repeated r using (doc_id)
+), judged as (
+    select *, n_words < {quality.LEAST_WORDS}
+              or 100 * n_repeat_words > {quality.MOST_REPEATED_PERCENT} * n_words as base_failed
+    from base
+)
+select doc_id, n_words, length(array_to_string(w, '')) as word_chars,
+       len(regexp_extract_all(text, '{quality.SYMBOLS}')) as n_symbols,
+       len(lines) - len(list_distinct(lines)) as n_dup_lines, n_repeat_words, base_failed,
+       not base_failed
+       and not coalesce(length(text) >= {quality.LEAST_CHARS} and js_chars > {quality.MOST_CHARS_DISTANCE}, false)
+       and not coalesce(n_words >= {quality.LEAST_WORDS_FOR_WORDS}
+                        and js_words > {quality.MOST_WORDS_DISTANCE}, false) as kept
+from judged
+"""
+
+ORACLE: dict[str, str] = {"op7_divergence_rules": OP7_SQL, "op8_warc": OP8_SQL, "op10_histogram_top_k": OP10_SQL}
