@@ -221,15 +221,67 @@ def components(edges: DataFrame) -> DataFrame:
     return parts.select("node", "part")
 
 
+def possible(n: Column, other_n: Column, most: Column | None = None, other_most: Column | None = None) -> Column:
+    """Whether sizes allow enough similarity.
+
+    ``most`` is how many elements of a node can be common at all.
+    """
+    common = F.least(n if most is None else most, other_n if other_most is None else other_most)
+    return common >= SIMILARITY * (n + other_n - common) - 1e-9
+
+
+def still_open(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """Members, with their parts, of the buckets that hold several parts."""
+    own = parts.select(F.col("node").alias("digest"), "part")
+    placed = members.join(own, "digest", "left").select(
+        "bucket", "band", "digest", "n", F.coalesce("part", "digest").alias("part")
+    )
+    split = placed.groupBy("bucket").agg(
+        F.min("part").alias("least"), F.max("part").alias("most"), F.count("*").alias("size")
+    ).where("least <> most")
+    split = stored(split.select("bucket", "size"), "dedup-split")
+    return stored(placed.join(split, "bucket"), "dedup-open")
+
+
+def own_elements(sets: DataFrame, open_: DataFrame) -> DataFrame:
+    """``digest, own``: elements of a node that no open node of another part has.
+
+    A node's links to other parts can share the rest of its elements only.
+    """
+    placed = open_.select("digest", "part").distinct()
+    elements = sets.join(placed, "digest").select("digest", "part", F.explode("elements").alias("element"))
+    single = (
+        elements.groupBy("element")
+        .agg(F.min("part").alias("least"), F.max("part").alias("most"))
+        .where("least = most")
+        .select("element")
+    )
+    return elements.join(single, "element", "left_semi").groupBy("digest").agg(F.count("*").alias("own"))
+
+
+def joined_parts(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """Parts after new links; parts are joined by links between their smallest nodes."""
+    for side in "ab":
+        own = parts.select(F.col("node").alias(side), F.col("part").alias(f"{side}_part"))
+        links = links.join(own, side, "left")
+    lifted = links.select(F.coalesce("a_part", "a").alias("a"), F.coalesce("b_part", "b").alias("b"))
+    joined = components(lifted.where("a <> b").distinct())
+    grown = joined.select(F.col("node").alias("part"), F.col("part").alias("new"))
+    alone = joined.join(parts, "node", "left_anti")
+    parts = parts.join(grown, "part", "left").select("node", F.coalesce("new", "part").alias("part"))
+    return stored(parts.unionByName(alone).distinct(), "dedup-parts")
+
+
 def near_classes(docs: DataFrame) -> DataFrame:
     """``digest, first_id, class_id, repeats`` of all different texts (non-null).
 
     Equal texts are one node. Nodes that share a band meet in a bucket. A bucket's first
-    node is compared with the others, over a few bands first, so that large groups of
-    copies become one part at linear cost. Then, in buckets that still hold several
-    parts, growing samples of nodes (eight times as many in each round, at last all) are
-    compared with the nodes of other parts. What is in one part already is never
-    compared, and no other pair of a bucket is left out.
+    node is compared with the others, over a few bands first, and then its most central
+    node, so that large groups of copies become one part at linear cost. Then, in buckets
+    that still hold several parts, growing samples of nodes (eight times as many in each
+    round, at last all) are compared with the nodes of other parts. What is in one part
+    already is never compared, nor a pair whose elements that only their parts have
+    rule out enough similarity; no other pair of a bucket is left out.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     by_text = signed(docs).groupBy("digest").agg(
@@ -257,62 +309,61 @@ def near_classes(docs: DataFrame) -> DataFrame:
     wanted = wanted.withColumn("doc_id", F.coalesce("doc_id", F.lit(-1).cast("long")))
     sets = stored(shingled(with_digest, wanted), "dedup-sets")
 
-    def close(a: Column, b: Column) -> Column:
-        """Sizes that allow enough similarity."""
-        return F.least(a, b) >= SIMILARITY * F.greatest(a, b) - 1e-9
-
     def pair(a: str, b: str) -> list[Column]:
         return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
-    # First round: every node against the first of its bucket.
+    # First round: every node against the first of its bucket, in a few bands.
     sizes = members.select(F.col("digest").alias("leader"), F.col("n").alias("leader_n")).distinct()
     first = members.where((F.col("band") < FIRST_BANDS) & (F.col("leader") != F.col("digest")))
     first = first.select("leader", "digest", "n").distinct().join(sizes, "leader")
-    tested = stored(first.where(close(F.col("n"), F.col("leader_n"))).select(*pair("leader", "digest")).distinct(), "dedup-pairs")
+    alike = possible(F.col("n"), F.col("leader_n"))
+    tested = stored(first.where(alike).select(*pair("leader", "digest")).distinct(), "dedup-pairs")
     parts = components(stored(verified(tested, sets), "dedup-links"))
 
-    largest = shared.agg(F.max("size")).first()[0] or 0
-    share = 1
-    while share < largest:
-        share *= GROWTH
-    while largest:
-        share = max(1, share // GROWTH)
-        own = parts.select(F.col("node").alias("digest"), "part")
-        placed = members.join(own, "digest", "left").select(
-            "bucket", "digest", "n", F.coalesce("part", "digest").alias("part")
+    open_ = still_open(members, parts)
+    bands = nodes.join(open_.select("digest").distinct(), "digest", "left_semi").select("digest", "bands")
+    bands = stored(bands, "dedup-bands")
+    # Second round: every node against the one of its bucket with the fewest elements of
+    # its own part. Then samples of a size that grows, at last all.
+    share = None
+    while open_.limit(1).count():
+        largest = open_.agg(F.max("size")).first()[0]
+        own = stored(own_elements(sets, open_), "dedup-own")
+        nodes_of = open_.join(own, "digest", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0)))
+        nodes_of = nodes_of.join(bands, "digest").select("bucket", "band", "digest", "n", "most", "part", "bands")
+        if share is None:
+            best = F.min_by(F.struct("digest", "n", "most", "part", "bands"), F.struct(1 - F.col("most") / F.col("n"), "digest"))
+            leads = nodes_of.groupBy("bucket").agg(best.alias("o")).select("bucket", "o.*")
+            share, once = GROWTH, F.lit(True)
+            while share < largest:
+                share *= GROWTH
+        else:
+            share = max(1, share // GROWTH)
+            while share > 1 and share // GROWTH >= largest:
+                share //= GROWTH
+            leads = nodes_of.where(F.pmod(F.xxhash64("bucket", "digest"), F.lit(share)) == 0)
+            # A pair of several buckets is met in that of its first common band.
+            same = F.zip_with("bands", "other_bands", lambda x, y: x == y)
+            once = F.array_position(same, F.lit(True)) == F.col("band") + 1
+        leads = stored(
+            leads.select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("digest", "n", "most", "part", "bands")]),
+            "dedup-leads",
         )
-        split = placed.groupBy("bucket").agg(
-            F.min("part").alias("least"), F.max("part").alias("most"), F.count("*").alias("size")
-        ).where("least <> most")
-        open_ = stored(placed.join(split.select("bucket", "size"), "bucket"), "dedup-open")
-        biggest = open_.agg(F.max("size")).first()[0]
-        if not biggest:
-            break
-        while share > 1 and share // GROWTH >= biggest:
-            share //= GROWTH
-        leads = open_.where(F.pmod(F.xxhash64("bucket", "digest"), F.lit(share)) == 0)
-        leads = leads.select("bucket", F.col("digest").alias("other"), F.col("part").alias("other_part"), F.col("n").alias("other_n"))
-        met = open_.join(leads, "bucket").where(
+        met = nodes_of.join(leads, "bucket").where(
             (F.col("part") != F.col("other_part"))
-            & ((F.lit(share) > 1) | (F.col("digest") < F.col("other")))
-            & close(F.col("n"), F.col("other_n"))
+            & ((F.lit(share) > 1) | (F.col("digest") < F.col("other_digest")))
+            & possible(F.col("n"), F.col("other_n"), F.col("most"), F.col("other_most"))
+            & once
         )
-        fresh = met.select(*pair("digest", "other")).distinct().join(tested, ["a", "b"], "left_anti")
+        fresh = met.select(*pair("digest", "other_digest")).distinct().join(tested, ["a", "b"], "left_anti")
         fresh = stored(fresh, "dedup-pairs")
         links = stored(verified(fresh, sets), "dedup-links")
         tested = stored(tested.unionByName(fresh), "dedup-tested")
         if links.limit(1).count():
-            # Parts are joined by links between their smallest nodes.
-            known = lambda side: parts.select(F.col("node").alias(side), F.col("part").alias(f"{side}_part"))
-            lifted = links.join(known("a"), "a", "left").join(known("b"), "b", "left")
-            lifted = lifted.select(F.coalesce("a_part", "a").alias("a"), F.coalesce("b_part", "b").alias("b"))
-            joined = components(lifted.where("a <> b").distinct())
-            grown = joined.select(F.col("node").alias("part"), F.col("part").alias("new"))
-            alone = joined.join(parts, "node", "left_anti")
-            parts = parts.join(grown, "part", "left").select("node", F.coalesce("new", "part").alias("part"))
-            parts = stored(parts.unionByName(alone).distinct(), "dedup-parts")
+            parts = joined_parts(parts, links)
         if share == 1:
             break
+        open_ = still_open(members, parts)
     own = parts.select(F.col("node").alias("digest"), "part")
     classed = nodes.select("digest", "first_id").join(own, "digest", "left")
     classed = classed.withColumn("part", F.coalesce("part", "digest"))
