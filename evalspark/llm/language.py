@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evalspark.llm.common import in_chunks, texts
+from evalspark.llm.common import in_chunks, stored, texts
 
 #: Features: n-grams of 1 to 3 characters, hashed to so many bits.
 BITS = 15
@@ -182,7 +182,8 @@ def train(
     learned = learned.select("doc_id", "text", "lang")
     frequencies, total = document_frequencies(learned)
     idf = np.log((1 + total) / (1 + frequencies)) + 1
-    per_lang = learned.groupBy("lang").agg(F.count("*").alias("n"))
+    # Stored, so that Spark knows that it is small and does not shuffle texts to join it.
+    per_lang = stored(learned.groupBy("lang").agg(F.count("*").alias("n")), "language-counts")
     n_langs = max(1, per_lang.count())
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(11), "doc_id", "text"), 11) / F.lit(float(1 << 53))
     sample = learned.join(per_lang, "lang").withColumn("draw", draw)
