@@ -215,25 +215,19 @@ def running_score(
     A run may hold most of the rows, so its ids are never ordered in one task. Ids are
     cut into blocks of 2^block_bits, those into blocks of blocks; sums run within each
     level, and a row adds up what lies before it on all three. A null key is a run like
-    any other. Rows without an id have no place in the order: they come back with null
-    items and score.
+    any other. Rows without an id have no place in the order: like the rows of one id
+    they come back as one row of their run, with null items and score.
     """
     names, keys = list(keys), ["_run"]
     # A struct is not null, so the joins below find runs with null keys too.
     results = results.select(
         F.struct(*names).alias("_run"), "id", F.col("score").cast("double").alias("score")
     )
-    lost = results.where(F.col("id").isNull()).select(
-        "_run.*",
-        "id",
-        F.lit(None).cast("long").alias("items"),
-        F.lit(None).cast("double").alias("score"),
-    )
     # The coalesce tells the optimizer that no block number is null. Without it each
     # join below filters its own level, and the levels cannot share the row exchange.
-    placed = results.where(F.col("id").isNotNull())
-    rows = placed.groupBy(*keys, "id").agg(
-        F.sum("score").alias("s"), F.count("score").alias("n")
+    counted = F.when(F.col("id").isNotNull(), F.col("score"))
+    rows = results.groupBy(*keys, "id").agg(
+        F.sum(counted).alias("s"), F.count(counted).alias("n")
     )
     fine = F.shiftright(F.coalesce("id", F.lit(0)), block_bits)
     coarse = F.shiftright("fine", block_bits)
@@ -279,10 +273,11 @@ def running_score(
         F.sum("n").over(inside).alias("n"),
     )
     seen = F.col("n") + F.col("n_b") + F.col("n_g")
-    done = own.join(block_start, [*keys, "fine"]).select(
+    mean = F.try_divide(F.col("s") + F.col("s_b") + F.col("s_g"), seen)
+    placed = F.col("id").isNotNull()
+    return own.join(block_start, [*keys, "fine"]).select(
         "_run.*",
         "id",
-        seen.alias("items"),
-        F.try_divide(F.col("s") + F.col("s_b") + F.col("s_g"), seen).alias("score"),
+        F.when(placed, seen).alias("items"),
+        F.when(placed, mean).alias("score"),
     )
-    return done.unionByName(lost)

@@ -210,7 +210,7 @@ def test_final_answer_respects_the_cap(spark):
         ],
         "conv_id STRING, turn LONG, role STRING, text STRING",
     )
-    assert rows(toolcalls.final_answer(turns)) == [
+    assert rows(toolcalls.final_answer(turns, fixed.MAX_TURNS_HOSTED)) == [
         ("a", "first", True),
         ("b", fixed.NOT_ANSWERED, False),
         ("c", fixed.NOT_ANSWERED, False),
