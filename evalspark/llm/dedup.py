@@ -273,7 +273,7 @@ def joined_parts(parts: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
-    """``digest, first_id, class_id, repeats`` of all different texts (non-null).
+    """``digest, first_id, class_id, head`` (the class's text) of all different texts (non-null).
 
     Equal texts are one node. Nodes that share a band meet in a bucket. A bucket's first
     node is compared with the others, over a few bands first, and then its most central
@@ -367,7 +367,9 @@ def near_classes(docs: DataFrame) -> DataFrame:
     own = parts.select(F.col("node").alias("digest"), "part")
     classed = nodes.select("digest", "first_id").join(own, "digest", "left")
     classed = classed.withColumn("part", F.coalesce("part", "digest"))
-    heads = classed.groupBy("part").agg(F.min(F.struct("first_id", "digest")).alias("head"))
+    # The smallest id; a text without ids is head only where all are.
+    first = F.struct(F.col("first_id").isNull().alias("none"), "first_id", "digest")
+    heads = classed.groupBy("part").agg(F.min(first).alias("head"))
     return stored(
         classed.join(heads, "part").select(
             "digest", "first_id", F.col("head.first_id").alias("class_id"), F.col("head.digest").alias("head")

@@ -116,6 +116,13 @@ def test_links_through_a_third_text_and_repeated_shingles(spark):
     assert got == {10: 10, 11: 10, 12: 10, 13: 10, 20: 20, 21: 21, 30: 30}
 
 
+def test_a_class_takes_its_smallest_known_id(spark):
+    rows = [(None, "same words in both of the texts"), (5, "same words in  both of the texts")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert tuples(dedup.near_duplicates(docs), "doc_id", "class_id") == [(5, 5), (None, 5)]
+    assert [r.doc_id for r in dedup.distinct_documents(docs).collect()] == [5]
+
+
 def test_parts_are_found_along_a_path(spark):
     edges = [(f"{i:04d}".encode(), f"{i + 1:04d}".encode()) for i in range(60) if i % 20 != 19]
     got = dedup.components(spark.createDataFrame(edges, "a binary, b binary")).collect()
