@@ -205,7 +205,7 @@ NUMBERS: tuple[tuple[str, Callable, re.Pattern], ...] = tuple(
         (
             "card",
             card,
-            r"(?<!\d)(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}([ -])\d{6}\2\d{5})(?!\d)",
+            r"(?<!\d)(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1(?:\d{4}\1\d{1,3}|\d{1,7})|\d{4}([ -])\d{6}\2\d{5})(?!\d)",
         ),
         (
             "phone",
@@ -224,27 +224,69 @@ SECRET = re.compile(
 #: Text that a number of any kind lies in.
 NUMERIC = re.compile(r"\+?\(?\d[\d ().+/-]{5,}\d")
 MAYBE = re.compile(r"[0-9@]")
+GROUP_END = re.compile(r"(?<=[A-Za-z0-9])(?![A-Za-z0-9])")
+#: More characters than a number other than a phone number has, and what must not follow it.
+LONGEST = 40
+
+
+Value = tuple[int, int, str]
+
+
+def next_value(
+    pattern: re.Pattern, rule: Callable, text: str, at: int, key: bytes,
+    stop: int | None = None, free: Callable[[int, int], bool] | None = None,
+) -> Value | None:
+    """Start, end and pseudonym of the first value from ``at`` on that passes its check.
+
+    A match that fails is tried with shorter ends, at each end of a group, and then from the
+    next start inside it. ``free`` tells which stretches may be taken.
+    """
+    stop = len(text) if stop is None else stop
+    m = pattern.search(text, at, stop)
+    while m:
+        start, end = m.span()
+        inner = None
+        while end > start:
+            if end == m.end() or pattern.fullmatch(text, start, end):
+                new = rule(text[start:end], key)
+                if new is not None and (free is None or free(start, end)):
+                    return start, end, new
+            if inner is None:
+                inner = [g.start() for g in GROUP_END.finditer(text, start + 1, end) if g.start() < end]
+            end = inner.pop() if inner else start
+        m = pattern.search(text, start + 1, stop)
+    return None
 
 
 def numbers(span: str, key: bytes, kinds: list[str]) -> str:
-    """The values of a numeric stretch replaced, leftmost first."""
+    """The values of a numeric stretch replaced, leftmost first.
+
+    A phone number, which has no check digit, ends before a value of another kind rather
+    than inside it.
+    """
+
+    def free(start: int, end: int) -> bool:
+        for name, rule, pattern in NUMBERS:
+            at, stop = start + 1, min(len(span), end + LONGEST)
+            while name != "phone" and (v := next_value(pattern, rule, span, at, key, stop)) and v[0] < end:
+                if v[1] > end:
+                    return False
+                at = v[1]
+        return True
+
     out, at = [], 0
-    while at < len(span):
-        best = None
+    ahead: dict[str, Value | None] = {}
+    while True:
         for name, rule, pattern in NUMBERS:
-            for m in pattern.finditer(span, at):
-                if best and m.start() >= best[0]:
-                    break
-                new = rule(m[0], key)
-                if new is not None:
-                    best = (m.start(), m.end(), new, name)
-                    break
-        if best is None:
-            break
-        out += [span[at : best[0]], best[2]]
-        kinds.append(best[3])
-        at = best[1]
-    return "".join(out) + span[at:]
+            if name not in ahead or (ahead[name] and ahead[name][0] < at):
+                ahead[name] = next_value(pattern, rule, span, at, key, free=free if name == "phone" else None)
+        name = min((n for n in ahead if ahead[n]), key=lambda n: ahead[n][0], default=None)
+        if name is None:
+            return "".join(out) + span[at:]
+        start, end, new = ahead[name]
+        out += [span[at:start], new]
+        kinds.append(name)
+        at = end
 
 
 def pseudonymised(text: str, key: bytes) -> tuple[str, list[str]]:
@@ -256,12 +298,11 @@ def pseudonymised(text: str, key: bytes) -> tuple[str, list[str]]:
     def apply(pattern: re.Pattern, rule: Callable, name: str, part: str) -> list:
         """Stretches of ``part``; replaced ones as one-element tuples."""
         out, at = [], 0
-        for m in pattern.finditer(part):
-            new = rule(m[0], key)
-            if new is not None:
-                kinds.append(name)
-                out += [part[at : m.start()], (new,)]
-                at = m.end()
+        while value := next_value(pattern, rule, part, at, key):
+            start, end, new = value
+            kinds.append(name)
+            out += [part[at:start], (new,)]
+            at = end
         return [*out, part[at:]]
 
     parts: list = [text]
@@ -280,7 +321,9 @@ def pseudonyms(docs: DataFrame, key: bytes = b"set the key of the corpus here")
     Only ``text`` is read. Null texts stay null and have no values; each row is handled
     alone, so repeated rows and equal values come out alike. ``kinds`` names the kinds
     found, sorted. Input columns with these two names are replaced. A number that fails
-    its check (such as a card number with a wrong last digit) is no value and stays.
+    its check (such as a card number with a wrong last digit) is no value and stays, but
+    values inside it that begin and end with its groups are replaced. Of valid values that
+    overlap, the leftmost is taken; a phone number gives way to the others.
     """
     docs = docs.drop("n_values", "kinds")
 

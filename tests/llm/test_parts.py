@@ -141,6 +141,32 @@ def test_what_fails_its_check_stays(text):
     assert pii.pseudonymised(text, b"k") == (text, [])
 
 
+@pytest.mark.parametrize(
+    "before, value, behind, kind",
+    [
+        ("2024 ", "4111 1111 1111 1111", "", "card"),
+        ("2024-", "4111-1111-1111-1111", " 7", "card"),
+        ("0001 0002 ", "4111 1111 1111 1111", " 123", "card"),
+        ("no. 12 ", "4111 1111 1111 1111 110", " 2024", "card"),
+        ("", "ES91 2100 0418 4502 0005 1332", " EUR", "account"),
+        ("", "ES9121000418450200051332", " EUR", "account"),
+        ("", "ES9121000418450200051332", " 2024", "account"),
+        ("AB12 ", "ES91 2100 0418 4502 0005 1332", " EUR 2024", "account"),
+        ("", "+44 20 7946 0958", " 2024 1234", "phone"),
+    ],
+)
+def test_values_next_to_other_numbers_are_replaced(before, value, behind, kind):
+    alone, _ = pii.pseudonymised(value, b"k")
+    new, kinds = pii.pseudonymised(before + value + behind, b"k")
+    assert alone != value and kinds == [kind] and new == before + alone + behind
+
+
+def test_a_phone_number_ends_before_a_card():
+    for phone in ("+44 20 7946 0958", "555 123"):
+        new, kinds = pii.pseudonymised(f"{phone} 4111 1111 1111 1111", b"k")
+        assert "card" in kinds and new.endswith(pii.card("4111 1111 1111 1111", b"k"))
+
+
 def test_equal_values_in_other_forms_stay_linked():
     a, _ = pii.pseudonymised("4111111111111111", b"k")
     b, _ = pii.pseudonymised("4111 1111 1111 1111", b"k")
