@@ -269,6 +269,14 @@ def test_quality_of_odd_rows(docs):
     assert got[7].n_words == 60_000 and got[7].n_repeat_words == 0
 
 
+def test_repeats_are_found_beside_windows_of_like_hashes(spark):
+    # The first 40 bits of the hashes of both windows agree.
+    a, b = "w125648 p q", "w1059905 p q"
+    rows = [(1, f"{a} x {b} y {a}", "en")]
+    (got,) = quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert got.n_words == 11 and got.n_repeat_words == 6
+
+
 def test_quality_tells_symbols_from_prose(spark):
     rng = np.random.default_rng(3)
     vocabulary = ["the", "of", "and", "to", *(f"{a}{b}ing" for a in "bcdfgh" for b in "aeiou")]
