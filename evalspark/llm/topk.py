@@ -82,7 +82,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10) -> DataFrame:
     Ties go to the smaller id. A query is never its own candidate; with fewer than k
     candidates all are returned. Rows without id and vectors that are null or hold a null
     or a non-finite component take no part; vectors of another length than the query's
-    are no candidates. Repeated rows of an id are candidates each and one query. Scores
+    are no candidates; empty vectors meet each other with score 0. Repeated rows of an id are candidates each and one query. Scores
     beyond a long stop at its ends. Without rows there is no result.
 
     Queries and vectors lie in blocks of bounded size, and each block of vectors meets
@@ -101,8 +101,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10) -> DataFrame:
     sizes = stored(
         sizes.select(
             "dim",
-            F.ceil(F.col("n") * F.col("dim") / V_BLOCK).alias("vs"),
-            F.ceil(F.col("asked") * F.col("dim") / Q_BLOCK).alias("qs"),
+            F.ceil(F.col("n") * F.greatest("dim", F.lit(1)) / V_BLOCK).alias("vs"),
+            F.ceil(F.col("asked") * F.greatest("dim", F.lit(1)) / Q_BLOCK).alias("qs"),
         ).where("qs > 0"),
         "topk-sizes",
     )

@@ -290,6 +290,12 @@ def test_quality_tells_symbols_from_prose(spark):
     assert {r.doc_id for r in got.collect() if not r.kept} == {98, 99}
 
 
+def test_empty_vectors_meet_each_other(spark):
+    rows = [(0, []), (1, []), (2, []), (3, [1.0]), (4, None)]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0)
+    assert tuples(got, "query_id", "rank", "vec_id", "score") == [(0, 1, 1, 0), (0, 2, 2, 0)]
+
+
 def test_shards_are_even_and_slots_have_no_gaps(docs, spark):
     for df in (docs, spark.range(1003).select(F.col("id").alias("doc_id")).repartition(7)):
         got = sharding.sharded(df, 8).select("shard", "slot").collect()
