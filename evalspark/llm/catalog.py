@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evalspark.llm import dedup, language, mixing, packing, pii, quality, sharding, token_files, topk, warc
+from evalspark.llm import dedup, language, merkle, mixing, packing, pii, quality, sharding, token_files, topk, warc
 from evalspark.llm.common import table
 
 
@@ -70,6 +70,21 @@ def op10_histogram_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all rows; of those with an even checksum a text without line breaks is checked."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    found_later = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    fields = ("doc_id", "source", "lang", "n_chars")
+    suspects = docs.select(
+        "doc_id",
+        "source",
+        merkle.leaf(*fields, "text").alias("leaf"),
+        merkle.leaf(*fields, found_later).alias("claimed"),
+    )
+    return merkle.checked(suspects).drop("source")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -83,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc,
         op9_hypergeometric_shards,
         op10_histogram_top_k,
+        op13_merkle_manifest,
     )
 }
 
@@ -194,4 +210,76 @@ select doc_id, n_words, length(array_to_string(w, '')) as word_chars,
 from judged
 """
 
-ORACLE: dict[str, str] = {"op7_divergence_rules": OP7_SQL, "op8_warc": OP8_SQL, "op10_histogram_top_k": OP10_SQL}
+
+def _leaf_sql(text: str) -> str:
+    values = ("doc_id", "source", "lang", "n_chars", text)
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}::varchar) || ':' || {v}::varchar, '-')" for v in values) + ")"
+
+
+#: Checksum (CRC-32) of a short text of ASCII characters, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(1, length(s) + 1), lambda i: ascii(substr(s, i, 1))::bigint)),
+    lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0],
+                             lambda a, b: xor(a >> 1, 3988292384 * (a & 1)))))"""
+
+OP13_SQL = f"""
+with recursive named as (
+    select *, doc_id::varchar as s from documents
+), suspect as (
+    select *, case when {_CRC32} % 2 = 0 then replace(text, chr(10), '') else text end as later from named
+), hashed as (
+    select doc_id, source, {_leaf_sql("text")} as leaf, {_leaf_sql("later")} as claimed from suspect
+), leaves as (
+    select *, row_number() over () as rid, count(*) over (partition by source) as n,
+           row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as i
+    from hashed
+), tree(source, level, i, n, h) as (
+    select source, 0, i, n, leaf from leaves
+    union all
+    select source, level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' order by i))
+    from tree where n > 1 group by source, level, i // 3, n
+), subroots as (
+    select source, h as subroot, row_number() over (order by source nulls first) - 1 as k, count(*) over () as sources
+    from tree where n = 1
+), top(level, i, n, h) as (
+    select 0, k, sources, subroot from subroots
+    union all
+    select level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' order by i))
+    from top where n > 1 group by level, i // 3, n
+), placed as (
+    select l.*, s.subroot, s.k from leaves l join subroots s on l.source is not distinct from s.source
+), near as (
+    select p.rid, 0 as part, t.level, t.i, t.h, p.i // (3 ** t.level)::bigint as own
+    from placed p join tree t on p.source is not distinct from t.source
+     and t.n > 1 and t.i // 3 = p.i // (3 ** (t.level + 1))::bigint
+    union all
+    select p.rid, 1, t.level, t.i, t.h, p.k // (3 ** t.level)::bigint
+    from placed p join top t on t.n > 1 and t.i // 3 = p.k // (3 ** (t.level + 1))::bigint
+), runs as (
+    select rid, row_number() over (partition by rid order by part, level) as step,
+           coalesce(string_agg(h, '' order by i) filter (where i < own), '') as before,
+           coalesce(string_agg(h, '' order by i) filter (where i > own), '') as behind
+    from near group by rid, part, level
+), proofs as (
+    select rid, string_agg(before || behind, '' order by step) as siblings, max(step) as steps from runs group by rid
+), fold(rid, step, cur) as (
+    select rid, 0::bigint, claimed from leaves
+    union all
+    select f.rid, r.step, sha256(r.before || f.cur || r.behind)
+    from fold f join runs r on r.rid = f.rid and r.step = f.step + 1
+), ends as (
+    select p.*, coalesce(q.siblings, '') as siblings, f.cur as folded_root, t.h as root
+    from placed p left join proofs q using (rid)
+    join fold f on f.rid = p.rid and f.step = coalesce(q.steps, 0)
+    join top t on t.n = 1
+)
+select doc_id, leaf, subroot, root, sha256(siblings) as proof_sha256, folded_root, folded_root = root as verified
+from ends
+"""
+
+ORACLE: dict[str, str] = {
+    "op7_divergence_rules": OP7_SQL,
+    "op8_warc": OP8_SQL,
+    "op10_histogram_top_k": OP10_SQL,
+    "op13_merkle_manifest": OP13_SQL,
+}
