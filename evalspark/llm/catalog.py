@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evalspark.llm import dedup, language, merkle, mixing, packing, pii, quality, sharding, token_files, topk, warc
+from evalspark.llm import (
+    dedup, language, merkle, mixing, packing, pii, quality, secret_scan, sharding, token_files, topk, warc,
+)
 from evalspark.llm.common import table
 
 
@@ -70,6 +72,10 @@ def op10_histogram_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_secret_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digests(secret_scan.secrets(table(spark, sf_dir, "documents")))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proofs of all rows; of those with an even checksum a text without line breaks is checked."""
     docs = table(spark, sf_dir, "documents")
@@ -98,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc,
         op9_hypergeometric_shards,
         op10_histogram_top_k,
+        op11_secret_layers,
         op13_merkle_manifest,
     )
 }
