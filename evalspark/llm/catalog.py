@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evalspark.llm import (
-    dedup, language, merkle, mixing, packing, pii, quality, secret_scan, sharding, token_files, topk, warc,
+    dedup, language, merkle, mixing, packing, phrases, pii, quality, secret_scan, sharding, token_files, topk, warc,
 )
 from evalspark.llm.common import table
 
@@ -76,6 +76,10 @@ def op11_secret_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.secrets(table(spark, sf_dir, "documents")))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proofs of all rows; of those with an even checksum a text without line breaks is checked."""
     docs = table(spark, sf_dir, "documents")
@@ -105,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_hypergeometric_shards,
         op10_histogram_top_k,
         op11_secret_layers,
+        op12_collocations,
         op13_merkle_manifest,
     )
 }
@@ -218,6 +223,44 @@ from judged
 """
 
 
+OP12_SQL = f"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w
+    from (select lang, unnest(regexp_split_to_array(
+              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[.,;:!?\\x0A-\\x0D]')) as piece from documents)
+), totals as (
+    select lang, sum(len(w))::bigint as n from pieces group by lang
+), grams as (
+    select lang, k, w[i:i + k - 1] as words
+    from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i
+          from pieces, (values {", ".join(f"({k})" for k in range(1, phrases.LONGEST + 1))}) as t(k))
+), often as (
+    select lang, k, words, count(*)::bigint as f from grams group by all having count(*) >= {phrases.LEAST}
+), dropped as (
+    select distinct s.lang, s.words
+    from (select lang, f, k, words, unnest(range(2, k)) as size from often where k > 2) as g,
+         lateral (select unnest(range(1, g.k - g.size + 2)) as i) as p
+    join often s on s.lang = g.lang and s.words = g.words[i:i + g.size - 1] and g.f >= s.f
+), cuts as (
+    select c.lang, c.words, c.f as a, n, cut, x.f as l, y.f as r,
+           (1000::hugeint * c.f * n) // (x.f::hugeint * y.f) as score
+    from (select *, unnest(range(1, k)) as cut from often where k > 1) as c
+    join totals using (lang)
+    join often x on x.lang = c.lang and x.words = c.words[1:cut]
+    join often y on y.lang = c.lang and y.words = c.words[cut + 1:]
+    where not exists (select 1 from dropped d where d.lang = c.lang and d.words = c.words)
+), worst as (
+    select * from cuts qualify row_number() over (partition by lang, words order by score, cut) = 1
+), ranked as (
+    select *, array_to_string(words, ' ') as phrase from worst
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank,
+       phrase, a, l, r, n, score::bigint as score
+from ranked qualify rank <= {phrases.TOP}
+"""
+
+
 def _leaf_sql(text: str) -> str:
     values = ("doc_id", "source", "lang", "n_chars", text)
     return "sha256(" + " || ".join(f"coalesce(strlen({v}::varchar) || ':' || {v}::varchar, '-')" for v in values) + ")"
@@ -288,5 +331,6 @@ ORACLE: dict[str, str] = {
     "op7_divergence_rules": OP7_SQL,
     "op8_warc": OP8_SQL,
     "op10_histogram_top_k": OP10_SQL,
+    "op12_collocations": OP12_SQL,
     "op13_merkle_manifest": OP13_SQL,
 }
