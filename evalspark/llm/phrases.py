@@ -249,9 +249,9 @@ def merge(slices: DataFrame, bits: int, least: int) -> DataFrame:
     return slices.groupBy("part").applyInArrow(task, MERGED)
 
 
-def _skip(grams: int, range_grams: int) -> int:
-    """Bits of the ranges' names, so that a range holds few enough n-grams."""
-    return max(0, (-(-grams // range_grams) - 1).bit_length())
+def _skip(grams: int, range_grams: int, bits: int) -> int:
+    """Bits of the ranges' names, so that a range holds few enough n-grams; half of all at most."""
+    return min(bits // 2, (max(1, -(-grams // range_grams)) - 1).bit_length())
 
 
 def frequent_phrases(
@@ -266,7 +266,7 @@ def frequent_phrases(
     own = entries.join(words.select("id", "lang", "word"), ["lang", "word"])
     own = own.groupBy("chunk").agg(F.collect_list(F.struct("place", "id")).alias("numbers"))
     total = words.agg(F.sum("n")).first()[0]
-    skip = _skip(total, range_grams)
+    skip = _skip(total, range_grams, 2 * bits)
     level = stored(first_level(rows, own, bits, skip), "phrase-level")
     found = None
     for length in range(2, longest + 1):
@@ -281,7 +281,7 @@ def frequent_phrases(
         )
         states = level.where("part is null")
         # An n-gram of one word more begins where one of this length does.
-        skip = _skip(states.agg(F.sum("n_valid")).first()[0], range_grams)
+        skip = _skip(states.agg(F.sum("n_valid")).first()[0], range_grams, (length + 1) * bits)
         level = stored(next_level(states, back, length + 1, bits, skip), "phrase-level")
     return found
 

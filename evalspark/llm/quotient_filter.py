@@ -125,7 +125,8 @@ class QuotientFilter:
     def quotient_bits(self) -> int:
         """About as many quotients as rows, so that remainders are whole bytes."""
         wanted = max(1, len(self)).bit_length() + 1
-        return max(b for b in range(max(0, wanted - 7), wanted + 1) if (self.skip + b) % 8 == 0 or b == 0 and not self.skip)
+        whole = -self.skip % 8
+        return max(whole, whole + (wanted - whole) // 8 * 8)
 
     def to_bytes(self) -> bytes:
         """Header, occupied quotients, ends of runs, remainders, counts below 255, larger counts."""
