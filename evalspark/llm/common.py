@@ -68,13 +68,44 @@ def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return batch.column(column).cast(pa.large_binary()).fill_null(b"").to_pylist()
 
 
+class Remembered(dict):
+    """Values of a function by keys of bytes, of about ``most_bytes`` together.
+
+    When the newer half is full it becomes the older half, whose values come back when
+    they are asked for again; what is forgotten is made anew.
+    """
+
+    #: Bytes of an entry besides its key and value: their headers and the table's slot.
+    ROOM = 160
+
+    def __init__(self, make: Callable, most_bytes: int):
+        super().__init__()
+        self.make, self.half = make, most_bytes // 2
+        self.size, self.older = 0, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if self.size > self.half:
+            self.older = dict(self)
+            self.clear()
+            self.size = 0
+        self.size += self.ROOM + len(key) + (len(value) if isinstance(value, bytes) else 8)
+        self[key] = value
+        return value
+
+
 def kept(key: tuple, make: Callable):
     """A value of this Python process, made once and kept from task to task.
 
     Modules of this package travel to the executors with the tasks and are made anew for
-    each of them; this place is not.
+    each of them; this place is not. Only one value is kept: that of an earlier stage goes
+    when the next one asks for its own.
     """
     store = sys.modules.setdefault("evalspark_kept", types.ModuleType("evalspark_kept")).__dict__
-    if key not in store:
-        store[key] = make()
-    return store[key]
+    values = store.setdefault("values", {})
+    if key not in values:
+        values.clear()
+        values[key] = make()
+    return values[key]

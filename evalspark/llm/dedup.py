@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evalspark.llm.common import in_chunks, kept, stored, texts
+from evalspark.llm.common import Remembered, in_chunks, kept, stored, texts
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -34,22 +34,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _Hashes(dict):
-    """Hash of each distinct word; emptied when full, which changes nothing."""
+def word_hashes() -> Remembered:
+    """Hash of each distinct word."""
+    import xxhash
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= 400_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
+    return Remembered(xxhash.xxh64_intdigest, 48 << 20)
 
 
 def shingles(text: bytes) -> np.ndarray:
     """Hashes of the runs of five words; fewer words are one run, none are none."""
     found = text.split()
-    hashes = kept(("dedup-words",), _Hashes)
+    hashes = kept(("dedup-words",), word_hashes)
     h = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
     if not len(h):
         return h

@@ -7,7 +7,7 @@ import re
 
 import numpy as np
 
-from evalspark.llm.common import kept
+from evalspark.llm.common import Remembered, kept
 
 #: Words of Latin letters, with or without end marks: two pieces for the tokenizer. These
 #: letters have one form and the same lower case everywhere.
@@ -28,42 +28,28 @@ def _shown_bytes() -> list[str]:
 _SHOWN = _shown_bytes()
 
 
-class _Words(dict):
-    """Ids of each distinct word as bytes; a missing word is encoded when asked for."""
-
-    def __init__(self, coder: WordCoder):
-        super().__init__()
-        self.coder = coder
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= self.coder.most_words:
-            self.clear()
-        ids = self[word] = self.coder.word(word)
-        return ids
-
-
 class WordCoder:
     """Encodes texts with a tokenizer that lets no piece span white space.
 
     As white space only ends pieces there, a text's ids are the ids of its words put
     together. Words repeat, so each distinct one is encoded once and kept, up to
-    ``most_words``; a full memory is emptied, which changes no ids. Ids are kept as
-    little-endian integers of 16 bits, or 32 where the vocabulary needs them.
+    ``most_bytes`` of words and a quarter of it of their parts; what is forgotten is
+    encoded again. Ids are kept as little-endian integers of 16 bits, or 32 where the
+    vocabulary needs them.
     """
 
-    def __init__(self, path: str, most_words: int = 600_000):
+    def __init__(self, path: str, most_bytes: int = 80 << 20):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.most_words = most_words
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.words = _Words(self)
+        self.words = Remembered(self.word, most_bytes)
         self.end = np.array([END_ID], self.dtype).tobytes()
         probe = "Ab \n'S cd. <|x|>  \t9é"
         if self._ids(probe) != [i for w in probe.split() for i in self._ids(w)]:
             raise ValueError(f"{path}: pieces may span white space")
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = Remembered(self._piece, most_bytes // 4)
         probe = "Éabcdñß!,"
         self.split = np.array(self._ids(probe), self.dtype).tobytes() == self._plain(_PLAIN.match(probe))
 
@@ -72,18 +58,12 @@ class WordCoder:
 
     def _piece(self, piece: str) -> bytes:
         """Ids of lower-case letters or of end marks, from the tokenizer's model alone."""
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if len(self.pieces) >= self.most_words:
-                self.pieces.clear()
-            shown = piece if piece.isascii() else "".join(map(_SHOWN.__getitem__, piece.encode()))
-            found = [token.id for token in self.tokenizer.model.tokenize(shown)]
-            ids = self.pieces[piece] = np.array(found, self.dtype).tobytes()
-        return ids
+        shown = piece if piece.isascii() else "".join(map(_SHOWN.__getitem__, piece.encode()))
+        return np.array([token.id for token in self.tokenizer.model.tokenize(shown)], self.dtype).tobytes()
 
     def _plain(self, match: re.Match) -> bytes:
         letters, marks = match.groups()
-        return self._piece(letters.lower()) + (self._piece(marks) if marks else b"")
+        return self.pieces[letters.lower()] + (self.pieces[marks] if marks else b"")
 
     def word(self, word: bytes) -> bytes:
         text = word.decode()

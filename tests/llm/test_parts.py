@@ -31,7 +31,7 @@ def test_elias_fano_refuses_falling_numbers():
 
 
 def test_words_have_the_ids_of_whole_texts():
-    coder = tokens.WordCoder(tokens.default_path(), most_words=3)
+    coder = tokens.WordCoder(tokens.default_path(), most_bytes=1000)
     for text in (
         "",
         " \n\t",
