@@ -9,16 +9,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from evalspark.functions import fixed
+from evalspark.sources import sums
 
 
-def _sums(results: DataFrame, keys: Sequence[str]) -> DataFrame:
+def board_sums(results: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What every board is made of, per key; sums of two tables add up to those of both."""
     has_score = F.col("score").isNotNull() & ~F.isnan("score")
     aggregates = [
         F.count(F.lit(1)).alias("items"),
-        F.sum(F.col("success").cast("long")).alias("successes"),
+        F.count(F.when(F.col("success"), 1)).alias("successes"),
         F.sum(F.when(has_score, F.col("score"))).alias("score_sum"),
         F.count(F.when(has_score, 1)).alias("scored"),
     ]
@@ -43,8 +45,12 @@ def scoreboard(results: DataFrame) -> DataFrame:
 
     The overall score is the mean over rows, not the mean of the task means.
     """
-    sums = _sums(results, ["task"])
-    return sums.rollup("task").agg(
+    return board_of_sums(board_sums(results, ["task"]))
+
+
+def board_of_sums(found: DataFrame) -> DataFrame:
+    """The scoreboard of sums that have ``task`` among their keys."""
+    return found.rollup("task").agg(
         F.grouping("task").cast("int").alias("is_total"),
         _total("items").alias("items"),
         _ratio("successes", "items").alias("success_rate"),
@@ -54,7 +60,21 @@ def scoreboard(results: DataFrame) -> DataFrame:
 
 
 def success_rate(results: DataFrame) -> DataFrame:
-    return results.agg(F.avg(F.col("success").cast("int")).alias("success_rate"))
+    """Share of rows that succeeded; a row that does not say so did not."""
+    return results.agg(F.avg(F.coalesce("success", F.lit(False)).cast("int")).alias("success_rate"))
+
+
+def fold_results(results: DataFrame, root: str, batch: int, keys: Sequence[str] = ("task",)) -> None:
+    """Add new results to the board kept at ``root``; the same batch again counts once."""
+    sums.add_batch(board_sums(results, keys), root, batch)
+
+
+def folded_scoreboard(spark: SparkSession, root: str, keys: Sequence[str] = ("task",)) -> DataFrame:
+    """The scoreboard of all results folded in so far, from their sums alone."""
+    found = sums.read_sums(spark, root, keys)
+    if found is None:
+        raise ValueError(f"{root}: no results were folded in")
+    return board_of_sums(found)
 
 
 def overall_score(results: DataFrame) -> DataFrame:
@@ -71,7 +91,7 @@ def score_by_task(results: DataFrame) -> DataFrame:
 def edit_distance_by_task(results: DataFrame) -> DataFrame:
     """Mean edit distance per task and over all rows (task null)."""
     return (
-        _sums(results, ["task"])
+        board_sums(results, ["task"])
         .rollup("task")
         .agg(
             F.grouping("task").cast("int").alias("is_total"),
@@ -82,9 +102,13 @@ def edit_distance_by_task(results: DataFrame) -> DataFrame:
 
 
 def metrics_long(board: DataFrame) -> DataFrame:
-    """Scoreboard -> (key, value): success_rate, overall_score, score_<task>."""
+    """Scoreboard -> (key, value): success_rate, overall_score, score_<task>.
+
+    Rows without a task are a group of the board; its key is ``score_`` alone.
+    """
     is_total = F.col("is_total") == 1
-    task_key = F.concat(F.lit("score_"), F.replace("task", F.lit(" "), F.lit("_")))
+    name = F.coalesce(F.replace("task", F.lit(" "), F.lit("_")), F.lit(""))
+    task_key = F.concat(F.lit("score_"), name)
     overall = F.array(
         F.struct(F.lit("success_rate").alias("key"), F.col("success_rate").alias("value")),
         F.struct(F.lit("overall_score").alias("key"), F.col("score").alias("value")),
@@ -100,9 +124,9 @@ def chart_table(results: DataFrame) -> DataFrame:
 
     The total is a window over the per-task sums, which are as few as the tasks.
     """
-    sums = _sums(results, ["task"])
+    by_task = board_sums(results, ["task"])
     everything = Window.partitionBy(F.lit(1))
-    return sums.select(
+    return by_task.select(
         "task",
         F.try_divide("score_sum", "scored").alias("score"),
         F.try_divide(
@@ -121,7 +145,7 @@ def compare_models(
 
     With two or more models, ``difference`` is the last one minus the first.
     """
-    sums = _sums(results, [*keys, "model"])
+    per_model = board_sums(results, [*keys, "model"])
     columns = []
     for model in models:
         own = F.col("model") == model
@@ -131,7 +155,7 @@ def compare_models(
                 F.sum(F.when(own, F.col("scored"))),
             ).alias(f"score_{model}")
         )
-    wide = sums.groupBy(*keys).agg(*columns)
+    wide = per_model.groupBy(*keys).agg(*columns)
     if len(models) > 1:
         wide = wide.withColumn(
             "difference", F.col(f"score_{models[-1]}") - F.col(f"score_{models[0]}")
@@ -144,7 +168,7 @@ def score_cube(
 ) -> DataFrame:
     """Score for every combination of the keys, with margins (null = all)."""
     return (
-        _sums(results, keys)
+        board_sums(results, keys)
         .cube(*keys)
         .agg(
             F.grouping_id().cast("int").alias("margin"),
@@ -165,7 +189,7 @@ def union_runs(*runs: DataFrame) -> DataFrame:
 def coverage(items: DataFrame, results: DataFrame) -> DataFrame:
     """Share of the items of each task, and of all, that have a result."""
     answered = results.select("id").distinct().withColumn("answered", F.lit(1))
-    sums = (
+    counts = (
         items.select("id", "task")
         .join(answered, "id", "left")
         .groupBy("task")
@@ -174,7 +198,7 @@ def coverage(items: DataFrame, results: DataFrame) -> DataFrame:
             F.count("answered").alias("answered"),
         )
     )
-    return sums.rollup("task").agg(
+    return counts.rollup("task").agg(
         F.grouping("task").cast("int").alias("is_total"),
         F.sum("items").alias("items"),
         F.sum("answered").alias("answered"),
@@ -189,14 +213,41 @@ def pending_items(items: DataFrame, results: DataFrame) -> DataFrame:
 
 def threshold_band(scores: DataFrame, bands: Sequence = fixed.BANDS_HOSTED) -> DataFrame:
     """Points of the highest band whose limits are met (coverage, exact_match); else 0."""
-    points = F.lit(0)
-    for reward, over, everything, exact_over in bands:
-        enough = (
-            F.col("coverage") >= 1.0 if everything else F.col("coverage") > over
+    rows = [
+        ("", reward, None if everything else float(over), 1.0 if everything else None, float(exact_over))
+        for reward, over, everything, exact_over in bands
+    ]
+    table = scores.sparkSession.createDataFrame(rows, BANDS)
+    return banded(scores.withColumn("_scheme", F.lit("")), table, "_scheme").drop("_scheme")
+
+
+#: A band: coverage above ``over`` or from ``least`` on, exact matches above ``exact_over``.
+BANDS = "scheme STRING, points INT, over DOUBLE, least DOUBLE, exact_over DOUBLE"
+
+
+def banded(scores: DataFrame, bands: DataFrame, scheme: str = "scheme") -> DataFrame:
+    """``scores`` with the ``points`` of the best band of their scheme they reach, else 0.
+
+    ``bands`` is a table, so schemes can differ by benchmark and change without code. A
+    scheme's bands meet its scores in one equi-join, sorted by points from the highest:
+    the first whose limits are met counts. A missing limit is met by all; scores without
+    coverage or exact matches reach no limit; a scheme without bands gives 0.
+    """
+    listed = bands.groupBy(F.col("scheme").alias("_of")).agg(
+        F.sort_array(F.collect_list(F.struct("points", "over", "least", "exact_over")), asc=False).alias("_bands")
+    )
+
+    def met(band: Column) -> Column:
+        limits = (
+            (band["over"].isNull(), F.col("coverage") > band["over"]),
+            (band["least"].isNull(), F.col("coverage") >= band["least"]),
+            (band["exact_over"].isNull(), F.col("exact_match") > band["exact_over"]),
         )
-        met = enough & (F.col("exact_match") > exact_over)
-        points = F.greatest(points, F.when(met, reward).otherwise(0))
-    return scores.withColumn("points", points)
+        return reduce(lambda a, b: a & b, [none | F.coalesce(reached, F.lit(False)) for none, reached in limits])
+
+    joined = scores.join(listed, F.col(scheme).eqNullSafe(F.col("_of")), "left")
+    points = F.coalesce(F.get(F.filter("_bands", met), F.lit(0))["points"], F.lit(0))
+    return joined.withColumn("points", points).drop("_of", "_bands")
 
 
 # --- order and progress ------------------------------------------------------------------

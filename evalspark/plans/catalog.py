@@ -26,7 +26,7 @@ from evalspark.operators import (
 from evalspark.operators.toolcalls import Tool
 from evalspark.plans.tables import Tables, part_disease, question_text
 from evalspark.session import scratch_path
-from evalspark.sources import parsers, readers, runs, writers
+from evalspark.sources import parsers, readers, runs, sums, writers
 from evalspark.streaming import scoreboard as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,6 +131,92 @@ def typed_question_items(t: Tables) -> DataFrame:
     return read.select("id", "task", "question", "answer", _joined("answers").alias("answers"))
 
 
+def _one_file_each(docs: DataFrame, name: str) -> str:
+    """Documents (path, value) written as a file each; the folder's path."""
+    folder = scratch_path(docs.sparkSession, name)
+    docs.repartition("path").write.partitionBy("path").text(folder)
+    return folder
+
+
+def _block_of(path: str) -> Column:
+    return F.regexp_extract(path, r"path=(\d+)", 1).cast("long")
+
+
+@query
+def nested_files_accounted(t: Tables) -> DataFrame:
+    """Benchmark files read from disk, two in five broken: rows and rejects of all of them."""
+    block = F.col("path").cast("long") % 5
+    docs = _blocks_of_items(t).select(
+        "path",
+        F.when(block == 1, F.expr("substring(value, 1, length(value) - 1)"))
+        .when(block == 2, F.concat(F.lit("["), "value", F.lit("]")))
+        .when(block == 3, F.concat(F.lit('{"Broken": 5, '), F.expr("substring(value, 2)")))
+        .otherwise(F.col("value"))
+        .alias("value"),
+    )
+    good, rejects = readers.read_benchmark(t.spark, _one_file_each(docs, "nested-files"))
+    rows = good.select("id", "task", "question", _joined("answers").alias("answers"))
+    bad = rejects.select(_block_of("path").alias("block"), "part", "reason")
+    return rows.unionByName(bad, allowMissingColumns=True)
+
+
+@query
+def list_files_accounted(t: Tables) -> DataFrame:
+    """Typed question files of 50 genes, one in three without a list: rows and rejects."""
+    body = F.concat(F.lit("What is "), "symbol", F.lit("?"))
+    entry = F.to_json(F.struct(F.col("gene_type").alias("type"), body.alias("body"), F.array("symbol").alias("ideal_answer")))
+    block = F.floor(F.col("uid") / 50).alias("block")
+    docs = (
+        t.gene.select(block, "uid", entry.alias("entry"))
+        .groupBy("block")
+        .agg(_joined(ranking.ordered_values(F.col("uid"), F.col("entry")), ", ").alias("body"))
+        .select(
+            F.lpad(F.col("block").cast("string"), 12, "0").alias("path"),
+            F.when(F.col("block") % 3 == 1, F.lit('{"questions": {"type": "none"}}'))
+            .when(F.col("block") % 3 == 2, F.concat(F.lit('{"questions": ['), "body", F.lit("]}")))
+            .otherwise(F.concat(F.lit('{"first": ['), "body", F.lit('], "more": []}')))
+            .alias("value"),
+        )
+    )
+    good, rejects = readers.read_benchmark(t.spark, _one_file_each(docs, "list-files"), "list")
+    bad = rejects.select(_block_of("path").alias("block"), "part", "reason")
+    return good.select("id", "task", "question", "answer").unionByName(bad, allowMissingColumns=True)
+
+
+@query
+def reply_files_accounted(t: Tables) -> DataFrame:
+    """Stored replies of five kinds, read from lines: (kind, reason, replies, rows)."""
+    uid, state = F.col("uid").cast("string"), F.col("uid") % 4
+    record = F.concat(F.lit('{"result": {"uids": [], "'), uid, F.lit('": {"name": "x", "chr": "1"}}}'))
+    kinds = {
+        "search": ("term", F.concat(F.lit('{"esearchresult": {"idlist": ["'), uid, F.lit('"]}}')), '{"esearchresult": {}}'),
+        "link": (
+            "rsid",
+            F.concat(F.lit('{"linksets": [{"linksetdbs": [{"dbto": "gene", "links": ["'), uid, F.lit('"]}]}]}')),
+            '{"linksets": []}',
+        ),
+        "gene_xml": ("uid", F.lit("<S><Gene-ref><Gene-ref_desc>d</Gene-ref_desc></Gene-ref></S>"), "<S><E></S>"),
+        "summary": (None, record, '{"result": []}'),
+        "snp": (None, record, '{"header": {}}'),
+    }
+    parts = []
+    for kind, (key, good_text, other_shape) in kinds.items():
+        text = F.when(state == 1, F.lit(other_shape)).when(state == 2, F.lit("no reply")).otherwise(good_text)
+        line = F.to_json(F.struct(uid.alias(key), text.alias("value"))) if key else text
+        # Of lines that are cut off, only those with a key differ from other broken texts.
+        line = F.when(state == 3, F.lit('{"cut')).otherwise(line)
+        folder = scratch_path(t.spark, f"lines-{kind}")
+        t.gene.select(line.alias("value")).write.text(folder)
+        read, rejects = readers.read_replies(t.spark, folder, kind)
+        none = F.lit(None).cast("string").alias("reason")
+        parts.append(read.select(F.lit(kind).alias("kind"), none))
+        parts.append(rejects.select(F.lit(kind).alias("kind"), "reason"))
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    return every.groupBy("kind", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def predictions_round_trip(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "predictions")
@@ -203,6 +289,19 @@ def run_log_metrics(t: Tables) -> DataFrame:
     return logged.select("run_id", "key", "step", _r6("value").alias("value"))
 
 
+@query
+def repeated_run_log(t: Tables) -> DataFrame:
+    """Metrics of every model logged, logged again, corrected, and continued with a step."""
+    root = scratch_path(t.spark, "run-commits")
+    rows = _model_metrics(t)
+    wrong = rows.withColumn("value", F.lit(-1.0))
+    later = rows.withColumns({"step": F.lit(1).cast("long"), "value": F.col("value") / 2})
+    for commit, logged in (("0", wrong), ("0", rows), ("1", later), ("1", later)):
+        runs.append_run_table(logged, root, "run_metrics", commit)
+    read = runs.read_run_table(t.spark, root, "run_metrics", "events")
+    return read.select("run_id", "key", "step", _r6("value").alias("value"))
+
+
 @query
 def metrics_of_tagged_runs(t: Tables) -> DataFrame:
     root = scratch_path(t.spark, "tags")
@@ -982,6 +1081,18 @@ def scoreboard(t: Tables) -> DataFrame:
     return _rounded_board(scoreboards.scoreboard(scoring.score_answers(t.preds)))
 
 
+@query
+def folded_scoreboard(t: Tables) -> DataFrame:
+    """Results folded into a board in three batches, one of them twice, with a base between."""
+    root = scratch_path(t.spark, "folded")
+    scored = t.run_results.withColumn("batch", F.pmod("id", F.lit(3)))
+    for batch in (0, 1, 1):
+        scoreboards.fold_results(scored.where(F.col("batch") == batch), root, batch)
+    sums.compact(t.spark, root, ["task"])
+    scoreboards.fold_results(scored.where("batch = 2"), root, 2)
+    return _rounded_board(scoreboards.folded_scoreboard(t.spark, root))
+
+
 @query
 def ordered_scoreboard(t: Tables) -> DataFrame:
     board = scoreboards.scoreboard(scoring.score_answers(t.mixed_answers))
@@ -1059,6 +1170,21 @@ def threshold_bands(t: Tables) -> DataFrame:
     )
 
 
+@query
+def band_points_by_scheme(t: Tables) -> DataFrame:
+    """Points by a table of bands: models with even numbers have the scheme of single hops."""
+    rates = t.run_results.groupBy("model", "task").agg(
+        F.avg(F.col("success").cast("int")).alias("coverage"),
+        F.avg((F.col("score") >= 0.9).cast("int")).alias("exact_match"),
+    )
+    scheme = F.when(F.col("model") % 2 == 0, "single").when(F.col("model") == 1, "multi")
+    rows = [("single", 2, 0.75, None, 0.05), ("single", 3, 0.9, None, None), ("single", 9, None, 1.0, 0.1)]
+    rows += [("multi", 1, 0.5, None, 0.01), ("multi", 4, None, 0.99, None), ("none", 7, None, None, None)]
+    table = t.spark.createDataFrame(rows, scoreboards.BANDS)
+    done = scoreboards.banded(rates.withColumn("scheme", scheme), table)
+    return done.select("model", "task", "points")
+
+
 @query
 def unioned_runs(t: Tables) -> DataFrame:
     first = t.run_results.where("model < 2").select("id", "task", _r6("score").alias("score"))

@@ -357,6 +357,37 @@ _sql(
     'What is ' || symbol || '?' question, case when uid % 5 <> 0 then symbol end answer,
     case when uid % 5 <> 0 then symbol || '|' || ensembl else '' end answers from gene""",
 )
+_sql(
+    "nested_files_accounted",
+    """select row_number() over (order by id // 1000, id % 10, id) - 1 id, task, question,
+      case when id % 10 = 2 then answer || '|x' else answer end answers,
+      null::bigint block, null::varchar part, null::varchar reason
+    from items where id // 1000 % 5 in (0, 3, 4)
+    union all
+    select null, null, null, null, block, case when block % 5 = 3 then 'Broken' end,
+      case when block % 5 = 3 then 'another shape' else 'no object of tasks' end
+    from (select distinct id // 1000 block from items) where block % 5 in (1, 2, 3)""",
+)
+_sql(
+    "list_files_accounted",
+    """select row_number() over (order by uid) - 1 id, gene_type task, 'What is ' || symbol || '?' question,
+      symbol answer, null::bigint block, null::varchar part, null::varchar reason
+    from gene where uid // 50 % 3 <> 1
+    union all
+    select distinct null::bigint, null, null, null, uid // 50, 'questions', 'another shape'
+    from gene where uid // 50 % 3 = 1""",
+)
+_sql(
+    "reply_files_accounted",
+    """select kind, case when state = 0 then null when state = 1 then shape
+        when kind = 'gene_xml' and state = 2 then 'no XML'
+        when state = 3 and kind in ('search', 'link', 'gene_xml') then 'no JSON line' else 'no JSON' end reason,
+      sum(n)::bigint n
+    from (select unnest(['search', 'link', 'gene_xml', 'summary', 'snp']) kind,
+            unnest(['no list of ids', 'no sets of links', 'no XML', 'no records', 'no records']) shape) kinds,
+      (select uid % 4 state, count(*) n from gene group by 1) counts
+    group by 1, 2""",
+)
 _sql(
     "predictions_round_trip",
     """select id, task, question, coalesce(raw_prediction, '') answer,
@@ -380,6 +411,12 @@ _sql(
     union all select 'overall_score', avg(score) from run_results
     union all select 'score_' || replace(task, ' ', '_'), avg(score) from run_results group by task)""",
 )
+_sql(
+    "repeated_run_log",
+    """select 'model-' || model run_id, coalesce('score_' || task, 'overall_score') as key, step::bigint step,
+      round(avg(score) / (step + 1), 6) as value from run_results, (values (0), (1)) as s(step)
+    group by grouping sets ((model, task, step), (model, step))""",
+)
 _sql(
     "metrics_of_tagged_runs",
     """select 'model-' || model run_id, coalesce('score_' || task, 'overall_score') as key,
@@ -743,6 +780,7 @@ _sql(
 
 # === aggregations ===
 _sql("scoreboard", _board("scored_preds"))
+_sql("folded_scoreboard", _board("run_results"))
 _sql("ordered_scoreboard", _board("scored_mixed"))
 _sql("success_rate", "select round(avg(success::int), 6) success_rate from scored_mixed")
 _sql("overall_score", "select round(avg(score), 6) overall_score from scored_mixed")
@@ -788,6 +826,15 @@ _sql(
       when c > 0.75 and e > 0.05 then 2 when c > 0.50 and e > 0.01 then 1 else 0 end)::int points
     from (select model, task, avg(success::int) c, avg((score >= 0.9)::int) e from run_results group by 1, 2)""",
 )
+_sql(
+    "band_points_by_scheme",
+    """select model, task, (case
+      when model % 2 = 0 then case when c >= 1 and e > 0.1 then 9 when c > 0.9 then 3
+                                   when c > 0.75 and e > 0.05 then 2 else 0 end
+      when model = 1 then case when c >= 0.99 then 4 when c > 0.5 and e > 0.01 then 1 else 0 end
+      else 0 end)::int points
+    from (select model, task, avg(success::int) c, avg((score >= 0.9)::int) e from run_results group by 1, 2)""",
+)
 _sql(
     "unioned_runs",
     """select id, task, case when model < 2 then round(score, 6) end score,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(
@@ -42,3 +42,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not shared:
         shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, so that writers other than Spark mean the same file system."""
+    plain = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = plain.getFileSystem(spark._jsc.hadoopConfiguration())
+    return plain.makeQualified(files.getUri(), files.getWorkingDirectory()).toString()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written to a new scratch folder and read from there: computed once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system Spark knows; none if it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    return sorted(entry.getPath().getName() for entry in files.listStatus(folder))

@@ -47,6 +47,27 @@ def read_question_list(spark: SparkSession, path) -> DataFrame:
     return parsers.parse_question_list(read_documents(spark, path))
 
 
+def read_benchmark(spark: SparkSession, path, kind: str = "nested") -> tuple[DataFrame, DataFrame]:
+    """Rows of benchmark files and what could not be read: (path, part, reason, text).
+
+    ``kind`` is ``nested`` or ``list``. A broken file does not stop the others, and is not
+    lost without a trace either: each file has rows, no questions, or a reject. Spark
+    passes over files without a byte; they hold no document.
+    """
+    parse = {"nested": parsers.nested_qa, "list": parsers.question_list}[kind]
+    return parse(read_documents(spark, path))
+
+
+def read_replies(spark: SparkSession, path, kind: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of stored replies of one kind and (path, key, reason, text) of broken ones."""
+    key = {"search": "term", "link": "rsid", "gene_xml": "uid"}.get(kind)
+    if key is None:
+        return parsers.checked_replies(read_lines(spark, path), kind)
+    lines = spark.read.schema(f"{key} STRING, value STRING, _corrupt_record STRING").json(path)
+    named = lines.select(F.col("_metadata.file_path").alias("path"), key, "value", "_corrupt_record")
+    return parsers.checked_replies(named, kind)
+
+
 def read_items(spark: SparkSession, path) -> DataFrame:
     """Item table as JSON lines, for sets too large for one document."""
     return spark.read.schema(ITEM_SCHEMA).json(path)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from evalspark.sources import sums
+
 
 def stream_scoreboard(
     results: DataFrame,
@@ -25,7 +26,7 @@ def stream_scoreboard(
         timed.groupBy(F.window(event_time, window).alias("w"), "task")
         .agg(
             F.count(F.lit(1)).alias("items"),
-            F.avg(F.col("success").cast("int")).alias("success_rate"),
+            F.avg(F.coalesce("success", F.lit(False)).cast("int")).alias("success_rate"),
             F.avg("score").alias("score"),
         )
         .select(
@@ -52,37 +53,48 @@ def start_scoreboard(
     )
 
 
+def window_sums(results: DataFrame, event_time: str = "ts", window: str = "1 hour") -> DataFrame:
+    """Sums per window and task that add up over any cut of the results."""
+    start = F.window(F.col(event_time).cast("timestamp"), window)["start"]
+    return results.groupBy(start.alias("window_start"), "task").agg(
+        F.count(F.lit(1)).alias("items"),
+        F.count(F.when(F.col("success"), 1)).alias("successes"),
+        F.sum("score").alias("score_sum"),
+        F.count("score").alias("scored"),
+    )
+
+
 def drain_scoreboard(
-    results: DataFrame, table: str, checkpoint: str, **options
+    results: DataFrame, table: str, checkpoint: str, compact_every: int = 64, **options
 ) -> DataFrame:
-    """Process all that has arrived, open windows included, and return the table.
+    """Process all that has arrived, open windows included, and return the whole board.
 
-    Each batch rewrites its own folder below ``table``, so a batch that is run again
-    after a failure leaves the same rows; the last batch holds the whole scoreboard.
+    Each micro-batch is summed by itself and its sums are added to the table of sums, so
+    the stream keeps no state at all, and a row counts however late it comes. A batch that
+    is run again after a failure replaces its own sums. After ``compact_every`` batches the
+    sums so far become one base.
     """
-    last: dict[str, int] = {}
+    spark = results.sparkSession
+    keys = ["window_start", "task"]
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
-        last["batch"] = batch_id
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        sums.add_batch(window_sums(batch, **options), table, batch_id)
+        if batch_id % compact_every == compact_every - 1:
+            sums.compact(batch.sparkSession, table, keys)
 
     query = (
-        stream_scoreboard(results, **options)
-        .writeStream.outputMode("complete")
-        .option("checkpointLocation", checkpoint)
+        results.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(write)
+        .foreachBatch(fold)
         .start()
     )
     query.awaitTermination()
-    spark = results.sparkSession
-    if last:
-        return spark.read.parquet(f"{table}/batch={last['batch']}")
-    # Nothing new arrived: the table is what an earlier call left, or empty.
-    try:
-        earlier = spark.read.parquet(table)
-    except AnalysisException:
-        schema = stream_scoreboard(results, **options).schema
-        return spark.createDataFrame([], schema)
-    newest = earlier.agg(F.max("batch").alias("batch"))
-    return earlier.join(F.broadcast(newest), "batch").drop("batch")
+    found = sums.read_sums(spark, table, keys)
+    if found is None:
+        return spark.createDataFrame([], stream_scoreboard(results, **options).schema)
+    return found.select(
+        *keys,
+        "items",
+        F.try_divide("successes", "items").alias("success_rate"),
+        F.try_divide("score_sum", "scored").alias("score"),
+    )

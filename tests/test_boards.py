@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from evalspark.functions import fixed, vectors
 from evalspark.operators import items, judging, pairing, scoreboards, similarity
 from evalspark.session import scratch_path
+from evalspark.sources import sums
 from evalspark.streaming import scoreboard as streams
 from tests.conftest import rows
 
@@ -245,3 +246,73 @@ def test_append_mode_writes_closed_windows_once(spark, tmp_path):
 def test_scratch_path_is_new_each_time(spark):
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+# --- boards that grow ------------------------------------------------------------------------------------
+
+
+def test_folded_results_count_once(spark, tmp_path):
+    results = spark.range(90).select(
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("t"), (F.col("id") % 2).cast("string"))).alias("task"),
+        F.when(F.col("id") % 5 > 0, F.col("id") % 4 > 0).alias("success"),
+        F.when(F.col("id") % 7 > 0, F.col("id") / 90).alias("score"),
+        F.col("id"),
+    )
+    root = str(tmp_path / "board")
+    with pytest.raises(ValueError):
+        scoreboards.folded_scoreboard(spark, root)
+    assert sums.next_batch(spark, root) == 0 and sums.compact(spark, root, ["task"]) is None
+    for batch, rule in ((0, "id < 20"), (1, "id < 0"), (2, "id >= 20 AND id < 70"), (2, "id >= 20 AND id < 60")):
+        scoreboards.fold_results(results.where(rule), root, batch)
+
+    def same(rule):
+        def shape(df):
+            return rows(df.select("task", "is_total", "items", *[F.round(c, 9) for c in ("success_rate", "score_sum", "score")]))
+
+        assert shape(scoreboards.folded_scoreboard(spark, root)) == shape(scoreboards.scoreboard(results.where(rule)))
+
+    same("id < 60")
+    assert sums.compact(spark, root, ["task"]) == 2 == sums.compact(spark, root, ["task"])
+    same("id < 60")
+    scoreboards.fold_results(results.where("id >= 60"), root, sums.next_batch(spark, root))
+    same("true")
+    # A base that was not finished does not count.
+    (tmp_path / "board" / "bases" / "batch=000000000003").mkdir()
+    same("true")
+
+
+def test_late_rows_count_and_no_state_is_kept(spark, tmp_path):
+    source = tmp_path / "in"
+    schema = "ts TIMESTAMP, task STRING, success BOOLEAN, score DOUBLE"
+    hours = [50, 3, 900, 3, 50]  # far out of order
+    for i, hour in enumerate(hours):
+        spark.range(4).select(
+            F.timestamp_seconds(F.lit(1_700_000_000 + 3600 * hour)).alias("ts"), F.lit("t").alias("task"),
+            F.when(F.col("id") > 0, F.col("id") > 1).alias("success"), F.col("id").cast("double").alias("score"),
+        ).coalesce(1).write.parquet(str(source / f"f={i}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{source}/*")
+    out, checkpoint = str(tmp_path / "out"), tmp_path / "cp"
+    drained = streams.drain_scoreboard(stream, out, str(checkpoint), compact_every=2)
+    twin = streams.stream_scoreboard(spark.read.schema(schema).parquet(f"{source}/*"))
+    columns = ["window_start", "task", "items", F.round("success_rate", 9), F.round("score", 9)]
+    assert rows(drained.select(columns)) == rows(twin.select(columns))
+    assert not (checkpoint / "state").exists()
+    assert sums.next_batch(spark, out) == len(hours)
+
+
+def test_bands_are_a_table(spark):
+    scores = spark.createDataFrame(
+        [("a", 0.8, 0.2), ("a", 1.0, 0.2), ("a", None, 0.9), ("b", 0.2, None), ("c", 1.0, 1.0), (None, 0.6, 0.6)],
+        "scheme STRING, coverage DOUBLE, exact_match DOUBLE",
+    )
+    bands = [("a", 1, 0.5, None, 0.1), ("a", 5, None, 1.0, 0.1), ("b", 2, None, None, None), (None, 3, 0.5, None, None)]
+    got = scoreboards.banded(scores, spark.createDataFrame(bands, scoreboards.BANDS))
+    assert [r.points for r in got.orderBy("scheme", "coverage").collect()] == [3, 0, 1, 5, 2, 0]
+
+
+def test_missing_success_is_no_success(spark):
+    results = spark.createDataFrame([("t", True, 1.0), ("t", None, 0.5), (None, False, 0.0)], "task STRING, success BOOLEAN, score DOUBLE")
+    assert scoreboards.success_rate(results).first()[0] == pytest.approx(1 / 3)
+    board = scoreboards.scoreboard(results)
+    assert board.where("is_total = 1").first().success_rate == pytest.approx(1 / 3)
+    assert {r.key for r in scoreboards.metrics_long(board).collect()} == {"success_rate", "overall_score", "score_t", "score_"}

@@ -224,3 +224,76 @@ def test_repeated_keys_cost_no_search_of_all_entries(spark):
     got = parsers.parse_nested_qa(docs).orderBy("id").collect()
     assert len(got) == 20_000
     assert [(r["question"], r["answers"]) for r in (got[0], got[-1])] == [("q0", ["b0"]), ("q19999", ["b19999"])]
+
+
+def test_files_have_rows_or_rejects(spark, tmp_path):
+    texts = ['{"T": {"q": "a"}}', "{}", " ", "[1]", '{"T": {"q": "b"', '{"T": {"q": "c"}, "X": [1], "Y": null, "Z": "s"}']
+    for i, text in enumerate(texts):
+        put(tmp_path / f"{i}.json", text)
+    good, rejects = readers.read_benchmark(spark, str(tmp_path))
+    assert rows(good, "id") == [(0, "T", "q", ["a"]), (1, "T", "q", ["c"])]
+    bad = rejects.withColumn("path", F.substring_index("path", "/", -1)).collect()
+    whole = "no object of tasks"
+    assert sorted(map(tuple, bad), key=repr) == sorted(
+        [
+            ("2.json", None, whole, " "),
+            ("3.json", None, whole, "[1]"),
+            ("4.json", None, whole, texts[4]),
+            *[("5.json", part, "another shape", None) for part in "XYZ"],
+        ],
+        key=repr,
+    )
+
+
+def test_lists_have_rows_or_rejects(spark, tmp_path):
+    put(tmp_path / "1", '{"a": [{"type": "t", "body": "b", "ideal_answer": ["x"]}], "b": {"type": "t"}}')
+    put(tmp_path / "2", "[]")
+    good, rejects = readers.read_benchmark(spark, str(tmp_path), "list")
+    assert rows(good) == [(0, "t", "b", "x", ["x"])]
+    assert rows(rejects.select("part", "reason")) == [("b", "another shape"), (None, "no object of lists")]
+
+
+def test_replies_have_rows_or_rejects(spark, tmp_path):
+    path = keyed(tmp_path, "s", "term", [("a", {"esearchresult": {"idlist": []}}), ("b", "x"), ("c", {"e": 1}), ("d", None)])
+    with open(path, "a") as lines:
+        lines.write("\n{broken")
+    good, rejects = readers.read_replies(spark, path, "search")
+    assert rows(good) == []
+    assert rows(rejects.select("key", "reason", "_corrupt_record")) == [
+        ("b", "no JSON", "x"), ("c", "no list of ids", '{"e": 1}'), ("d", "no list of ids", "null"),
+        (None, "no JSON line", "{broken"),
+    ]
+    texts = ["<Set><a/></Set>", "<Set><a></Set>", "text", " <Set>"]
+    path = keyed(tmp_path, "x", "uid", [(str(i), x) for i, x in enumerate(texts)])
+    good, rejects = readers.read_replies(spark, path, "gene_xml")
+    assert rows(good) == [("0", None)]
+    assert rows(rejects.select("key", "reason")) == [("1", "no XML"), ("2", "no XML"), ("3", "no XML")]
+    empty = put(tmp_path / "none", "")
+    assert [df.count() for df in readers.read_replies(spark, empty, "summary")] == [0, 0]
+
+
+def test_ids_need_no_order_of_all_files(spark):
+    docs = spark.range(40).select(
+        F.format_string("f%03d", F.col("id")).alias("path"),
+        F.concat(F.lit('{"t": {"q'), F.col("id").cast("string"), F.lit('": "a", "r": "b"}}')).alias("value"),
+    )
+    read = parsers.parse_nested_qa(docs.repartition(6))
+    assert [r.question for r in read.orderBy("id").collect()][::2] == [f"q{i}" for i in range(40)]
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan  # documents were parsed once, before
+
+
+def test_repeated_logs_leave_rows_once(spark, tmp_path):
+    root = str(tmp_path)
+    for value in (0.1, 0.5, 0.5):
+        runs.log_run(spark, root, "e", "r", {"m": 1}, {"s": value}, ["a"])
+    runs.log_run(spark, root, "e", "r", metrics={"s": 0.75}, step=1)
+    runs.log_run(spark, root, "e", "r2", metrics={"s": 0.25})
+    runs.tag_run(spark, root, "e", "r", {"k": "old", "l": "x"})
+    runs.tag_run(spark, root, "e", "r", {"k": "new"})
+    metrics = runs.read_run_table(spark, root, "run_metrics").select("run_id", "key", "step", "value")
+    assert rows(metrics) == [("r", "s", 0, 0.5), ("r", "s", 1, 0.75), ("r2", "s", 0, 0.25)]
+    assert runs.read_run_table(spark, root, "run_params").count() == 1
+    assert runs.read_run_table(spark, root, "run_artifacts").count() == 1
+    tags = runs.read_run_table(spark, root, "run_tags").select("key", "value")
+    assert rows(tags) == [("k", "new"), ("l", "x")]
