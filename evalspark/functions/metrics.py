@@ -123,12 +123,15 @@ def edit_distance(pred: Column, gold: Column) -> Column:
     return F.levenshtein(pred, gold)
 
 
-def fuzzy_ratio(pred: Column, gold: Column) -> Column:
-    """1 - edit distance / longer length; two empty texts are alike."""
+def fuzzy_ratio(pred: Column, gold: Column, distance: Column | None = None) -> Column:
+    """1 - edit distance / longer length; two empty texts are alike.
+
+    ``distance`` is their edit distance where it is known already.
+    """
     longer = F.greatest(F.char_length(pred), F.char_length(gold))
-    return F.when(longer == 0, 1.0).otherwise(
-        1.0 - F.levenshtein(pred, gold) / longer
-    )
+    if distance is None:
+        distance = F.levenshtein(pred, gold)
+    return F.when(longer == 0, 1.0).otherwise(1.0 - distance / longer)
 
 
 # --- metrics over two lists -------------------------------------------------------------

@@ -37,14 +37,22 @@ Tables = Mapping[str, DataFrame]
 NA = fixed.NOT_AVAILABLE
 
 
-def _book(kind: str, df: DataFrame, key: str, value: Column, status=None) -> DataFrame:
-    """Shape a knowledge result as book rows; a null value is the answer NA."""
+#: Answers that are lists; all others are lists of one.
+LISTED = "array<string>"
+
+
+def _book(kind: str, df: DataFrame, key: str, value: Column, status=None, listed=None) -> DataFrame:
+    """Shape a knowledge result as book rows; a null value is the answer NA.
+
+    ``listed`` holds the answer as a list, for kinds whose answer is one.
+    """
     found = F.when(value.isNull() | (value == NA), "missing").otherwise("ok")
     return df.select(
         F.lit(kind).alias("kind"),
         F.col(key).alias("arg"),
         F.coalesce(value, F.lit(NA)).alias("predicted"),
         (found if status is None else status).alias("status"),
+        (F.lit(None) if listed is None else listed).cast(LISTED).alias("listed"),
     )
 
 
@@ -191,7 +199,7 @@ def disease_locations_book(tables: Tables) -> DataFrame:
         )
     )
     joined = F.nullif(F.array_join("places", fixed.LIST_SEPARATOR), F.lit(""))
-    return _book("disease_loc", places, "disease", joined)
+    return _book("disease_loc", places, "disease", joined, listed=F.col("places"))
 
 
 def snp_function_book(tables: Tables) -> DataFrame:
@@ -221,8 +229,11 @@ BOOKS: dict[str, Callable[[Tables], DataFrame]] = {
 # --- two books from one pass over their tables ---------------------------------------------
 
 
-def _book_rows(df: DataFrame, key: str, *books: tuple[str, Column, Column | None]) -> DataFrame:
-    """As :func:`_book` for several (kind, value, status), from each row of ``df``."""
+def _book_rows(df: DataFrame, key: str, *books: tuple[str, Column, Column | None], **listed: Column) -> DataFrame:
+    """As :func:`_book` for several (kind, value, status), from each row of ``df``.
+
+    ``listed`` names the kinds whose answers are lists.
+    """
     named = {f"_{kind}": value for kind, value, _ in books}
     rows = []
     computed = with_computed(df, **named)
@@ -235,6 +246,7 @@ def _book_rows(df: DataFrame, key: str, *books: tuple[str, Column, Column | None
                 F.col(key).alias("arg"),
                 F.coalesce(value, F.lit(NA)).alias("predicted"),
                 (found if status is None else status).alias("status"),
+                listed.get(kind, F.lit(None)).cast(LISTED).alias("listed"),
             )
         )
     return computed.select(F.inline(F.array(*rows)))
@@ -260,19 +272,18 @@ def _disease_books(tables: Tables, mode: str) -> DataFrame:
     hits = top_candidates(tables["gene_disease"], fixed.DISEASE_HITS, ["disease"], "rnk", ["uid"])
     found = hits.join(tables["gene"].select("uid", "symbol", "chromosome"), "uid", "left")
 
-    def listed(value: Column) -> Column:
-        return F.array_join(ordered_values(F.col("rnk"), value), fixed.LIST_SEPARATOR)
-
     lists = found.groupBy("disease").agg(
-        listed(F.col("symbol")).alias("names"),
-        listed(F.nullif(F.col("chromosome"), F.lit(""))).alias("places"),
+        F.array_join(ordered_values(F.col("rnk"), F.col("symbol")), fixed.LIST_SEPARATOR).alias("names"),
+        ordered_values(F.col("rnk"), F.nullif(F.col("chromosome"), F.lit(""))).alias("places"),
     )
     empty = F.lit("")
+    joined = F.array_join("places", fixed.LIST_SEPARATOR)
     return _book_rows(
         lists,
         "disease",
         ("disease_genes", F.nullif(F.col("names"), empty), None),
-        ("disease_loc", F.nullif(F.col("places"), empty), None),
+        ("disease_loc", F.nullif(joined, empty), None),
+        disease_loc=F.col("places"),
     )
 
 
@@ -345,9 +356,12 @@ def answer_book(
 # --- the join -----------------------------------------------------------------------------
 
 
-def look_up(questions: DataFrame, book: DataFrame) -> DataFrame:
+def look_up(questions: DataFrame, book: DataFrame, typed: bool = False) -> DataFrame:
     """Left join of routed questions (…, kind, arg) with a book.
 
+    With ``typed``, ``answers`` holds each answer as an array: all values of a listed
+    answer, else the one text.
+
     The join also runs on a hash of (kind, arg). No input is laid out by that hash, so
     both sides are exchanged right under the join; that is what lets adaptive execution
     split an argument that a large share of the questions ask about. The hash also
@@ -364,10 +378,12 @@ def look_up(questions: DataFrame, book: DataFrame) -> DataFrame:
     status = F.when(unknown, "unknown").otherwise(
         F.coalesce("status", F.lit("missing"))
     )
-    kept = [c for c in questions.columns if c not in ("predicted", "status")]
-    return joined.select(
-        *kept, predicted.alias("predicted"), status.alias("status")
-    )
+    kept = [c for c in questions.columns if c not in ("predicted", "status", "answers")]
+    got = joined.select(*kept, predicted.alias("predicted"), status.alias("status"), "listed")
+    if not typed:
+        return got.drop("listed")
+    several = F.when(F.col("status") == "ok", F.col("listed"))
+    return got.select(*kept, "predicted", "status", F.coalesce(several, F.array("predicted")).alias("answers"))
 
 
 def _one_kind(kind: str):
@@ -398,13 +414,16 @@ def answer_by_lookup(
     tables: Tables,
     mode: str = "as_documented",
     kinds: Sequence[str] = ALL_KINDS,
+    typed: bool = False,
 ) -> DataFrame:
     """Route every question and answer it -> (id, task, question, predicted, true, status).
 
-    The questions are read once and shuffled once, whatever the number of kinds.
+    The questions are read once and shuffled once, whatever the number of kinds. With
+    ``typed``, ``answers`` (array) follows, for :func:`write_paired` and list metrics.
     """
     routed = route_questions(items, mode, kinds)
-    answered = look_up(routed, answer_book(tables, kinds, mode))
+    answered = look_up(routed, answer_book(tables, kinds, mode), typed)
+    more = ["answers"] if typed else []
     return answered.select(
         "id",
         "task",
@@ -413,6 +432,7 @@ def answer_by_lookup(
         "predicted",
         F.col("answer").alias("true"),
         "status",
+        *more,
     )
 
 

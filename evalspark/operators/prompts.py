@@ -98,6 +98,86 @@ def append_turns(history: DataFrame, new_turns: DataFrame) -> DataFrame:
     return history.select("conv_id", "turn", "role", "text").unionByName(shifted)
 
 
+# --- message lists ------------------------------------------------------------------------
+
+#: Turns of a conversation that are gathered before the conversation is.
+BLOCK_TURNS = 1024
+
+
+def _call_id(turn: Column, place: Column) -> Column:
+    return F.format_string("call_%d_%d", turn, place)
+
+
+def message_lists(turns: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFrame:
+    """Turns -> (conv_id, messages): one nested list per conversation, in order of turns.
+
+    Turns are (conv_id, turn, role, text, calls, reply_to): ``calls`` is an array of
+    (name, arguments) or null, ``reply_to`` the (turn, place) of the call a tool turn
+    answers. In a message, calls have ids and a reply names the id of its call. Lists are
+    made of blocks of turns first, so rows of a long conversation are sorted block by
+    block; the list itself is one value, as a chat request is. Turns of one number keep
+    the order of role and text.
+    """
+    calls = F.transform(
+        "calls",
+        lambda c, i: F.struct(
+            _call_id(F.col("turn"), i).alias("id"), c["name"].alias("name"), c["arguments"].alias("arguments")
+        ),
+    )
+    reply = F.when(F.col("reply_to").isNotNull(), _call_id(F.col("reply_to.turn"), F.col("reply_to.place")))
+    message_row = F.struct(
+        F.col("turn"),
+        F.col("role"),
+        F.col("text").alias("content"),
+        calls.alias("tool_calls"),
+        reply.alias("tool_call_id"),
+    )
+    block = F.floor(F.col("turn") / block_turns)
+    blocks = turns.groupBy("conv_id", block.alias("block")).agg(
+        F.sort_array(F.collect_list(message_row)).alias("part")
+    )
+    whole = blocks.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("block", "part"))).alias("parts"))
+    return whole.select("conv_id", F.flatten("parts.part").alias("messages"))
+
+
+def message_rows(lists: DataFrame) -> DataFrame:
+    """The way back: one row per message, as :func:`message_lists` takes them."""
+    place = r"^call_(-?\d+)_(\d+)$"
+    answered = F.col("m.tool_call_id")
+    back = F.struct(
+        F.regexp_extract(answered, place, 1).cast("long").alias("turn"),
+        F.regexp_extract(answered, place, 2).cast("int").alias("place"),
+    )
+    calls = F.transform("m.tool_calls", lambda c: F.struct(c["name"].alias("name"), c["arguments"].alias("arguments")))
+    return lists.select("conv_id", F.explode("messages").alias("m")).select(
+        "conv_id",
+        "m.turn",
+        "m.role",
+        F.col("m.content").alias("text"),
+        calls.alias("calls"),
+        F.when(answered.isNotNull(), back).alias("reply_to"),
+    )
+
+
+def loose_replies(lists: DataFrame) -> DataFrame:
+    """(conv_id, tool_call_id) of replies to calls that stand nowhere before them."""
+    asked = F.flatten(
+        F.transform(
+            F.filter("messages", lambda m: m["tool_calls"].isNotNull()),
+            lambda m: F.transform(m["tool_calls"], lambda c: F.struct(c["id"].alias("id"), m["turn"].alias("turn"))),
+        )
+    )
+    replies = lists.select("conv_id", F.explode("messages").alias("m")).where("m.tool_call_id IS NOT NULL")
+    known = lists.select("conv_id", F.explode(asked).alias("c")).select("conv_id", "c.id", "c.turn")
+    same = (
+        F.col("r.conv_id").eqNullSafe(F.col("k.conv_id"))
+        & (F.col("r.m.tool_call_id") == F.col("k.id"))
+        & (F.col("k.turn") < F.col("r.m.turn"))
+    )
+    left = replies.alias("r").join(known.alias("k"), same, "left_anti")
+    return left.select("conv_id", F.col("m.tool_call_id").alias("tool_call_id"))
+
+
 def tool_result_turns(calls: DataFrame) -> DataFrame:
     """Text turn that hands the result of each call back to the model."""
     content = fill(
@@ -110,7 +190,10 @@ def tool_result_turns(calls: DataFrame) -> DataFrame:
 
 
 def judge_prompt(items: DataFrame, answers: DataFrame, rubric: str) -> DataFrame:
-    """Rubric prompt per answer: question, candidate, gold and rubric."""
+    """Rubric prompt per answer: question, candidate, gold and rubric.
+
+    An answer without an item is judged too, with nothing for its question and gold.
+    """
     prompt = fill(
         fixed.JUDGE_TEMPLATE,
         question=F.col("question"),
@@ -119,7 +202,7 @@ def judge_prompt(items: DataFrame, answers: DataFrame, rubric: str) -> DataFrame
         rubric=F.lit(rubric),
     )
     gold = items.select("id", "question", F.col("answer").alias("gold"))
-    return answers.join(gold, "id").select(
+    return answers.join(gold, "id", "left").select(
         "id",
         prompt.alias("prompt"),
         F.array(

@@ -138,31 +138,40 @@ def chart_table(results: DataFrame) -> DataFrame:
 # --- models --------------------------------------------------------------------------
 
 
-def compare_models(
-    results: DataFrame, models: Sequence, keys: Sequence[str] = ("task",)
+def compare_runs(
+    results: DataFrame, column: str, values: Sequence, keys: Sequence[str] = ("task",)
 ) -> DataFrame:
-    """One score column per named model; naming them avoids a job to find them.
+    """One score column per value of a column; naming them avoids a job to find them.
 
-    With two or more models, ``difference`` is the last one minus the first.
+    With two or more values, ``difference`` is the last one minus the first. For example,
+    ``compare_runs(results, "tools", [False, True], ["benchmark", "task"])`` tells what
+    tools add to each task of each benchmark.
     """
-    per_model = board_sums(results, [*keys, "model"])
+    per_run = board_sums(results, [*keys, column])
     columns = []
-    for model in models:
-        own = F.col("model") == model
+    for value in values:
+        own = F.col(column) == value
         columns.append(
             F.try_divide(
                 F.sum(F.when(own, F.col("score_sum"))),
                 F.sum(F.when(own, F.col("scored"))),
-            ).alias(f"score_{model}")
+            ).alias(f"score_{value}")
         )
-    wide = per_model.groupBy(*keys).agg(*columns)
-    if len(models) > 1:
+    wide = per_run.groupBy(*keys).agg(*columns)
+    if len(values) > 1:
         wide = wide.withColumn(
-            "difference", F.col(f"score_{models[-1]}") - F.col(f"score_{models[0]}")
+            "difference", F.col(f"score_{values[-1]}") - F.col(f"score_{values[0]}")
         )
     return wide
 
 
+def compare_models(
+    results: DataFrame, models: Sequence, keys: Sequence[str] = ("task",)
+) -> DataFrame:
+    """:func:`compare_runs` of named models."""
+    return compare_runs(results, "model", models, keys)
+
+
 def score_cube(
     results: DataFrame, keys: Sequence[str] = ("model", "task")
 ) -> DataFrame:

@@ -77,9 +77,11 @@ def score_answers(
 
 def _with_texts(prepared: DataFrame) -> DataFrame:
     """List answers as one text each, for distances."""
-    return prepared.withColumns(
+    sides = prepared.withColumns(
         {f"{c}_text": join_list(F.col(c), ", ") for c in ("_pred", "_gold")}
     )
+    distance = metrics.edit_distance(F.col("_pred_text"), F.col("_gold_text"))
+    return sides.withColumn("_distance", distance)
 
 
 def score_on_success(scored: DataFrame) -> DataFrame:
@@ -88,10 +90,10 @@ def score_on_success(scored: DataFrame) -> DataFrame:
 
 
 def _distance_columns(pred: str, gold: str) -> tuple[Column, Column]:
-    sides = F.col(f"{pred}_text"), F.col(f"{gold}_text")
+    sides, distance = (F.col(f"{pred}_text"), F.col(f"{gold}_text")), F.col("_distance")
     return (
-        metrics.edit_distance(*sides).alias("edit_distance"),
-        metrics.fuzzy_ratio(*sides).alias("fuzzy_ratio"),
+        distance.alias("edit_distance"),
+        metrics.fuzzy_ratio(*sides, distance).alias("fuzzy_ratio"),
     )
 
 

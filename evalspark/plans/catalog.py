@@ -14,6 +14,7 @@ from evalspark.operators import (
     judging,
     lookups,
     pairing,
+    projections,
     prompts,
     ranking,
     reports,
@@ -252,6 +253,29 @@ def paired_round_trip(t: Tables) -> DataFrame:
     )
 
 
+@query
+def paired_documents_round_trip(t: Tables) -> DataFrame:
+    """One nested document per benchmark (block of questions), read back as whole files."""
+    folder = scratch_path(t.spark, "paired-documents")
+    rows = t.preds.select(
+        F.pmod("id", F.lit(7)).alias("benchmark"),
+        "task",
+        F.concat(F.lit('"'), "question", F.lit('"\n')).alias("question"),
+        "raw_prediction",
+        "answer",
+    ).select(
+        "benchmark", "task", "question",
+        F.col("raw_prediction").alias("predicted"), F.array("answer", F.lit("x")).alias("true"),
+    )
+    writers.write_paired_documents(rows, folder)
+    docs = readers.read_documents(t.spark, folder)
+    named = F.regexp_extract("path", r"benchmark=(\d+)", 1).cast("long").alias("path")
+    read = parsers.parse_paired(docs.select(named, "value"))
+    return read.select(
+        "task", "question", _joined("predicted").alias("predicted"), _joined("true").alias("gold")
+    )
+
+
 @query
 def results_round_trip(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "results")
@@ -568,6 +592,39 @@ def appended_turns(t: Tables) -> DataFrame:
     return prompts.append_turns(history, asked)
 
 
+@query
+def tool_message_lists(t: Tables) -> DataFrame:
+    """Conversations with calls and replies as nested lists, and back to a row per message."""
+    calls = F.when(
+        (F.col("role") == "assistant") & (F.col("turn") % 4 == 1),
+        F.array(
+            F.struct(F.lit("search").alias("name"), F.concat(F.lit('{"k": '), F.col("turn").cast("string"), F.lit("}")).alias("arguments")),
+            F.struct(F.lit("open").alias("name"), F.lit("{}").alias("arguments")),
+        ),
+    )
+    none = F.lit(None).cast("struct<turn:bigint,place:int>")
+    turns = t.read("conversations").select(
+        "conv_id", (F.col("turn") * 3).cast("long").alias("turn"), "role", "text", calls.alias("calls"), none.alias("reply_to")
+    )
+    replies = turns.where("calls IS NOT NULL").select(
+        "conv_id", "turn", F.posexplode("calls").alias("place", "call")
+    ).select(
+        "conv_id",
+        (F.col("turn") + F.col("place") + 1).alias("turn"),
+        F.lit("tool").alias("role"),
+        F.concat(F.lit("result of "), "call.name").alias("text"),
+        F.lit(None).cast(turns.schema["calls"].dataType).alias("calls"),
+        F.struct("turn", "place").alias("reply_to"),
+    )
+    lists = prompts.message_lists(turns.unionByName(replies), block_turns=8)
+    back = prompts.message_rows(lists)
+    return back.select(
+        "conv_id", "turn", "role", "text",
+        F.array_join(F.transform("calls", lambda c: F.concat(c["name"], c["arguments"])), "|").alias("calls"),
+        F.col("reply_to.turn").alias("reply_turn"), F.col("reply_to.place").alias("reply_place"),
+    )
+
+
 @query
 def tool_result_turns(t: Tables) -> DataFrame:
     calls = toolcalls.extract_tool_calls(t.tool_text).where("parameters_ok")
@@ -830,15 +887,49 @@ def all_lookup_answers(t: Tables) -> DataFrame:
 
 @query
 def lookup_scoreboard(t: Tables) -> DataFrame:
-    """Items answered by lookup, scored, and put on a scoreboard."""
-    kinds = ("gene_chr", "ensembl", "coding")
-    answered = lookups.answer_by_lookup(t.items, t.knowledge, kinds=kinds)
+    """Questions of all twelve kinds answered by lookup, scored, on a scoreboard."""
+    answered = lookups.answer_by_lookup(t.gold_questions, t.knowledge)
     scored = scoring.score_answers(
         answered.select(
             "id", "task", F.col("true").alias("answer"), F.col("predicted").alias("raw_prediction")
-        )
+        ),
+        distances=True,
+    )
+    by_task = scoreboards.board_sums(scored, ["task"]).rollup("task").agg(
+        F.grouping("task").cast("int").alias("is_total"),
+        *[F.sum(c).alias(c) for c in ("items", "successes", "score_sum", "scored", "distance_sum", "distances")],
+    )
+    return by_task.select(
+        "task",
+        "is_total",
+        "items",
+        _r6(F.col("successes") / F.col("items")).alias("success_rate"),
+        _r6("score_sum").alias("score_sum"),
+        _r6(F.col("score_sum") / F.col("scored")).alias("score"),
+        _r6(F.col("distance_sum") / F.col("distances")).alias("edit_distance"),
+    )
+
+
+@query
+def listed_lookup_pairs(t: Tables) -> DataFrame:
+    """Answers as lists, written as nested pairs and read back; other kinds give lists of one."""
+    kinds = ("disease_loc", "gene_chr")
+    answered = lookups.answer_by_lookup(t.questions, t.knowledge, kinds=kinds, typed=True)
+    pairs = answered.where(F.col("kind").isin(*kinds)).select(
+        "task",
+        F.concat_ws(" ", F.col("id").cast("string"), "question").alias("question"),
+        F.col("answers").alias("predicted"),
+        F.array(F.lit("x")).alias("true"),
+    )
+    folder = scratch_path(t.spark, "listed")
+    writers.write_paired(pairs, folder)
+    read = readers.read_paired(t.spark, folder, lines=True)
+    return read.select(
+        F.substring_index("question", " ", 1).cast("long").alias("id"),
+        "task",
+        _joined("predicted").alias("answers"),
+        F.array_size("predicted").alias("n"),
     )
-    return _rounded_board(scoreboards.scoreboard(scored))
 
 
 # === normalisation and scoring ==================================================================
@@ -1006,6 +1097,16 @@ def nearest_vectors(t: Tables) -> DataFrame:
     return found.select("query_id", "doc_id", "place", _r6("similarity").alias("similarity"))
 
 
+@query
+def index_recall(t: Tables) -> DataFrame:
+    """Every hundredth vector against all by the index and exactly: is 0.9 of the ten found?"""
+    docs = t.vectors.select(F.col("id").alias("doc_id"), "vector")
+    queries = docs.where("doc_id % 100 = 0").withColumnRenamed("doc_id", "query_id")
+    found = projections.retrieve_by_index(queries, docs, k=10)
+    measured = projections.recall(found, similarity.retrieve_top_k(queries, docs, k=10))
+    return measured.select("queries", "neighbours", (F.col("recall") >= 0.9).alias("reached"))
+
+
 # === pairing ==================================================================================
 
 
@@ -1144,6 +1245,19 @@ def model_comparison(t: Tables) -> DataFrame:
     return done.select("task", *[_r6(c).alias(c) for c in done.columns if c != "task"])
 
 
+@query
+def tool_gain_by_benchmark(t: Tables) -> DataFrame:
+    """What tools add per benchmark and task: models from 3 on have tools."""
+    results = t.run_results.withColumns(
+        {"tools": F.col("model") >= 3, "benchmark": F.when(F.col("id") % 3 == 0, "multi").otherwise("single")}
+    )
+    done = scoreboards.compare_runs(results, "tools", [False, True], ["benchmark", "task"])
+    return done.select(
+        "benchmark", "task", _r6("score_False").alias("without_tools"), _r6("score_True").alias("with_tools"),
+        _r6("difference").alias("difference"),
+    )
+
+
 @query
 def model_cube(t: Tables) -> DataFrame:
     done = scoreboards.score_cube(t.run_results, ["model", "task"])

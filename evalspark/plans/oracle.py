@@ -398,6 +398,11 @@ _sql(
     """select task, question, raw_prediction predicted,
     case when id % 10 = 2 then answer || '|x' else answer end gold from preds""",
 )
+_sql(
+    "paired_documents_round_trip",
+    """select task, '"' || question || '"' || chr(10) question, raw_prediction predicted, answer || '|x' gold
+    from preds""",
+)
 _sql(
     "results_round_trip",
     """select id, task, question || chr(10) || '"q", x' question, answer,
@@ -515,6 +520,16 @@ _sql(
     union all select conv_id, n + 1, 'tool', 'result for ' || conv_id from
       (select conv_id, max(turn) + 1 n, count(*) filter (turn = 0) z from conversations group by 1) where z > 0""",
 )
+_sql(
+    "tool_message_lists",
+    """select conv_id, (turn * 3)::bigint turn, role, text,
+      case when role = 'assistant' and turn % 4 = 1 then 'search{"k": ' || turn || '}|open{}' end calls,
+      null::bigint reply_turn, null::int reply_place from conversations
+    union all
+    select conv_id, turn * 3 + place + 1, 'tool', 'result of ' || name, null, turn * 3, place
+    from conversations, (values (0, 'search'), (1, 'open')) as c(place, name)
+    where role = 'assistant' and turn % 4 = 1""",
+)
 _sql(
     "tool_result_turns",
     """select id, pos::int pos, 'user' as role, 'Function ' || name || ' called with parameters ' ||
@@ -665,12 +680,42 @@ for _name, _kind in {
     _sql(_name, f"select id, arg, predicted, status from answered where kind = '{_kind}'")
 _sql("snp_gene_rows", "select rsid, uid rnk, symbol as name from snp_gene join gene using (uid)")
 _sql("all_lookup_answers", "select id, kind task, kind, predicted, status from answered")
+_KIND_TASKS = """case kind when 'alias' then 'Gene alias' when 'disease_genes' then 'Gene disease association'
+      when 'gene_chr' then 'Gene location' when 'align' then 'Human genome DNA aligment'
+      when 'organism' then 'Multi-species DNA aligment' when 'ensembl' then 'Gene name conversion'
+      when 'coding' then 'Protein-coding genes' when 'snp_gene' then 'Gene SNP association'
+      when 'snp_chr' then 'SNP location' when 'seq_alias' then 'Sequence gene alias'
+      when 'disease_loc' then 'Disease gene location' else 'SNP gene function' end"""
+_LOOKUP_GOLD = f"""select a.id, {_KIND_TASKS} task, a.predicted raw_prediction,
+      case when kind in ('alias', 'disease_genes', 'ensembl', 'seq_alias') then 'GENE' || p_partkey
+        when kind in ('gene_chr', 'disease_loc')
+          then case when p_size % 7 <> 0 then 'chr' || (p_size % 22 + 1) else 'NA' end
+        when kind = 'align'
+          then 'chr' || (p_size % 22 + 1) || ':' || (p_partkey * 100) || '-' || (p_partkey * 100 + 127)
+        when kind = 'organism' then {_species("p_partkey", SCIENTIFIC)}
+        when kind = 'coding' then case when p_type = 'PROMO' then 'NA' else 'TRUE' end
+        when kind = 'snp_gene' then coalesce('GENE' || first_part, 'NA')
+        when kind = 'snp_chr' then case when o_orderkey % 11 <> 0 then 'chr' || (o_custkey % 22 + 1) else 'NA' end
+        else coalesce(summary, 'NA') end answer
+    from answered a
+    left join part p on kind not in ('snp_gene', 'snp_chr', 'snp_fn') and p.p_partkey = a.id // 100
+    left join (select o_orderkey, o_custkey, first_part, summary from orders
+      left join (select l_orderkey, min(l_partkey) first_part from lineitem group by 1) on l_orderkey = o_orderkey
+      left join gene g on g.uid = first_part) o
+      on kind in ('snp_gene', 'snp_chr', 'snp_fn') and o.o_orderkey = a.id // 100"""
 _sql(
     "lookup_scoreboard",
-    """select task, grouping(task)::int is_total, count(*) items, round(avg(1.0), 6)::double success_rate,
-    round(sum(case when wrong then 0.0 else 1.0 end), 6)::double score_sum,
-    round(avg(case when wrong then 0.0 else 1.0 end), 6)::double score
-    from (select task, false wrong from items) group by rollup (task)""",
+    f"""select task, grouping(task)::int is_total, count(*) items, round(avg(success::int), 6) success_rate,
+      round(sum(score), 6) score_sum, round(avg(score), 6) score, round(avg(d), 6) edit_distance
+    from (select task, success, score, levenshtein(array_to_string(p, ', '), array_to_string(g, ', ')) d
+      from ({_scored(f"({_LOOKUP_GOLD})").format(exclude="", called="true")}))
+    group by rollup (task)""",
+)
+_sql(
+    "listed_lookup_pairs",
+    """select id, kind task, array_to_string(string_split(predicted, ', '), '|') answers,
+      len(string_split(predicted, ', '))::int n
+    from answered where kind in ('disease_loc', 'gene_chr')""",
 )
 
 # === normalisation and scoring ===
@@ -763,6 +808,12 @@ _sql(
     where place <= 5""",
 )
 
+_sql(
+    "index_recall",
+    """select count(*) filter (id % 100 = 0) queries,
+      (count(*) filter (id % 100 = 0) * least(10, count(*)))::bigint neighbours, true reached from vectors""",
+)
+
 # === pairing ===
 _sql("pairs_by_id", "select id, raw_prediction, answer gold_answer from preds")
 _sql("pairs_by_question", "select id, question_key, predicted_answer, gold_answer, note from disease_pairs")
@@ -809,6 +860,12 @@ _sql(
     f"""select task, {_MODELS}, round(avg(score) filter (model = 4) - avg(score) filter (model = 0), 6) difference
     from run_results group by task""",
 )
+_sql(
+    "tool_gain_by_benchmark",
+    """select benchmark, task, round(w, 6) without_tools, round(m, 6) with_tools, round(m - w, 6) difference
+    from (select case when id % 3 = 0 then 'multi' else 'single' end benchmark, task,
+      avg(score) filter (model < 3) w, avg(score) filter (model >= 3) m from run_results group by 1, 2)""",
+)
 _sql(
     "model_cube",
     """select model, task, grouping(model, task)::int margin, count(*) items, round(avg(score), 6) score

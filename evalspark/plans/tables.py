@@ -24,6 +24,21 @@ QUESTION_TEXTS = {
     "disease_loc": "List chromosome locations of the genes related to {x}.",
     "snp_fn": "What is the function of the gene associated with SNP {x}?",
 }
+#: Task that a kind of question is scored as.
+KIND_TASKS = {
+    "alias": fixed.TASK_GENE_ALIAS,
+    "disease_genes": fixed.TASK_GENE_DISEASE,
+    "gene_chr": fixed.TASK_GENE_LOCATION,
+    "align": fixed.TASK_ALIGNMENT,
+    "organism": fixed.TASK_SPECIES,
+    "ensembl": "Gene name conversion",
+    "coding": fixed.TASK_CODING,
+    "snp_gene": "Gene SNP association",
+    "snp_chr": fixed.TASK_SNP_LOCATION,
+    "seq_alias": "Sequence gene alias",
+    "disease_loc": fixed.TASK_DISEASE_LOCATION,
+    "snp_fn": "SNP gene function",
+}
 MULTI_HOP = ("seq_alias", "disease_loc", "snp_fn")
 SEQUENCE_LETTERS = ("AA", "AC", "AG", "AT", "CA", "CC", "CG", "CT", "GA", "GC")
 
@@ -348,6 +363,57 @@ class Tables:
         )
         return by_part.unionByName(by_order)
 
+    @cached_property
+    def gold_questions(self) -> DataFrame:
+        """The questions with gold answers of all twelve kinds, as (id, task, question, answer).
+
+        Gold comes from the given tables by rules of its own, one gene or SNP at a time; so
+        lookups, which see all that share a name, are not always right.
+        """
+        key = _text("p_partkey")
+        symbol = F.concat(F.lit("GENE"), key)
+        place = F.concat(F.lit("chr"), _text(F.col("p_size") % 22 + 1))
+        chromosome = F.when(F.col("p_size") % 7 != 0, place).otherwise("NA")
+        start = F.col("p_partkey") * 100
+        species = [*fixed.ORGANISMS, "Canis lupus"]
+        gold = {
+            "alias": symbol,
+            "disease_genes": symbol,
+            "gene_chr": chromosome,
+            "align": F.concat(place, F.lit(":"), _text(start), F.lit("-"), _text(start + 127)),
+            "organism": F.element_at(
+                F.array(*[F.lit(n) for n in species]), (F.col("p_partkey") % len(species) + 1).cast("int")
+            ),
+            "ensembl": symbol,
+            "coding": F.when(F.col("p_type") == "PROMO", "NA").otherwise("TRUE"),
+            "seq_alias": symbol,
+            "disease_loc": chromosome,
+        }
+        part = self.read("part").select(
+            F.inline(F.array(*[F.struct((F.col("p_partkey") * 100 + n).alias("id"), gold[kind].alias("answer"))
+                               for n, kind in enumerate(QUESTION_TEXTS) if kind in gold]))
+        )
+        first = self.read("lineitem").groupBy("l_orderkey").agg(F.min("l_partkey").alias("uid"))
+        linked = first.join(self.gene.select("uid", "summary"), "uid", "left")
+        snp = self.read("orders").join(linked, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        chromosome = F.when(
+            F.col("o_orderkey") % 11 != 0, F.concat(F.lit("chr"), _text(F.col("o_custkey") % 22 + 1))
+        ).otherwise("NA")
+        gold = {
+            "snp_gene": F.coalesce(F.concat(F.lit("GENE"), _text("uid")), F.lit("NA")),
+            "snp_chr": chromosome,
+            "snp_fn": F.coalesce("summary", F.lit("NA")),
+        }
+        orders = snp.select(
+            F.inline(F.array(*[F.struct((F.col("o_orderkey") * 100 + n).alias("id"), gold[kind].alias("answer"))
+                               for n, kind in enumerate(QUESTION_TEXTS) if kind in gold]))
+        )
+        asked = self.questions.select("id", "question", F.col("task").alias("kind"))
+        tasks = F.create_map(*[F.lit(x) for pair in KIND_TASKS.items() for x in pair])
+        return asked.join(part.unionByName(orders), "id").select(
+            "id", tasks[F.col("kind")].alias("task"), "question", "answer"
+        )
+
     @cached_property
     def disease_gold(self) -> DataFrame:
         """disease -> its first ten symbols (array)."""
