@@ -20,6 +20,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: 20 bands of 6 components: a pair at 0.8 shares a band with probability 0.998.
 BANDS, ROWS = 20, 6
+#: Components keep four bits each in a sketch of so many 64-bit numbers; a pair at 0.8
+#: differs in at most so many components with probability 0.998.
+SKETCH, MOST_DIFFERENT = 8, 36
 #: Bands that the first round of comparisons looks at.
 FIRST_BANDS = 3
 #: In each later round a bucket has so many times as many leaders.
@@ -133,37 +136,62 @@ def buckets(signature: np.ndarray) -> np.ndarray:
     return out
 
 
+def sketches(signature: np.ndarray) -> np.ndarray:
+    """Four bits of each component, sixteen components to a number."""
+    nibbles = np.zeros((len(signature), SKETCH * 16), np.uint64)
+    nibbles[:, : BANDS * ROWS] = mix(signature) & np.uint64(15)
+    shifts = np.arange(16, dtype=np.uint64) * np.uint64(4)
+    return np.bitwise_or.reduce(nibbles.reshape(-1, SKETCH, 16) << shifts, axis=2)
+
+
+def alike(sketch: str, other: str) -> Column:
+    """Whether few enough components of two sketches differ for enough similarity.
+
+    Equal components have equal bits, others do with a chance of one in sixteen.
+    """
+    ones = F.lit(0x1111111111111111)
+    different = F.lit(0)
+    for i in range(SKETCH):
+        x = F.get(sketch, F.lit(i)).bitwiseXOR(F.get(other, F.lit(i)))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        different = different + F.bit_count(x.bitwiseAND(ones))
+    return different <= MOST_DIFFERENT
+
+
 def digest(text: Column) -> Column:
     """Equal texts have equal digests; null for null."""
     return F.unhex(F.md5(text.cast("binary")))
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """``doc_id, digest, n`` (shingles) and ``bands`` (null without words) of non-null texts."""
+    """``doc_id, digest, n`` (shingles), ``bands`` and ``sketch`` (null without words) of non-null texts."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_chunks(batches, "text", 4 << 20):
             bags = [bag(t) for t in texts(batch, "text")]
             full = [i for i, (e, _) in enumerate(bags) if len(e)]
             bands = [None] * len(bags)
+            sketch = [None] * len(bags)
             if full:
                 owners = np.repeat(np.arange(len(full)), [len(bags[i][0]) for i in full])
                 elements, counts = (np.concatenate([bags[i][k] for i in full]) for k in (0, 1))
-                found = buckets(signatures(elements, counts, owners, len(full))).view(np.int64)
-                for i, row in zip(full, found):
-                    bands[i] = row
+                found = signatures(elements, counts, owners, len(full))
+                for i, band, few in zip(full, buckets(found).view(np.int64), sketches(found).view(np.int64)):
+                    bands[i], sketch[i] = band, few
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     batch.column("digest"),
                     pa.array([int(c.sum()) for _, c in bags], pa.int64()),
                     pa.array(bands, pa.list_(pa.int64())),
+                    pa.array(sketch, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "digest", "n", "bands"],
+                names=["doc_id", "digest", "n", "bands", "sketch"],
             )
 
     rows = docs.where(F.col("text").isNotNull()).select("doc_id", digest(F.col("text")).alias("digest"), "text")
-    return rows.mapInArrow(task, "doc_id long, digest binary, n long, bands array<bigint>")
+    return rows.mapInArrow(task, "doc_id long, digest binary, n long, bands array<bigint>, sketch array<bigint>")
 
 
 def shingled(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -276,11 +304,12 @@ def near_classes(docs: DataFrame) -> DataFrame:
     that still hold several parts, growing samples of nodes (eight times as many in each
     round, at last all) are compared with the nodes of other parts. What is in one part
     already is never compared, nor a pair whose elements that only their parts have
-    rule out enough similarity; no other pair of a bucket is left out.
+    rule out enough similarity, nor one whose signatures differ too often for it; no other
+    pair of a bucket is left out.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     by_text = signed(docs).groupBy("digest").agg(
-        F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("bands").alias("bands")
+        F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("n", "bands", "sketch")]
     )
     nodes = stored(by_text, "dedup-nodes")
     members = nodes.select(
@@ -311,12 +340,12 @@ def near_classes(docs: DataFrame) -> DataFrame:
     sizes = members.select(F.col("digest").alias("leader"), F.col("n").alias("leader_n")).distinct()
     first = members.where((F.col("band") < FIRST_BANDS) & (F.col("leader") != F.col("digest")))
     first = first.select("leader", "digest", "n").distinct().join(sizes, "leader")
-    alike = possible(F.col("n"), F.col("leader_n"))
-    tested = stored(first.where(alike).select(*pair("leader", "digest")).distinct(), "dedup-pairs")
+    close = possible(F.col("n"), F.col("leader_n"))
+    tested = stored(first.where(close).select(*pair("leader", "digest")).distinct(), "dedup-pairs")
     parts = components(stored(verified(tested, sets), "dedup-links"))
 
     open_ = still_open(members, parts)
-    bands = nodes.join(open_.select("digest").distinct(), "digest", "left_semi").select("digest", "bands")
+    bands = nodes.join(open_.select("digest").distinct(), "digest", "left_semi").select("digest", "bands", "sketch")
     bands = stored(bands, "dedup-bands")
     # Second round: every node against the one of its bucket with the fewest elements of
     # its own part. Then samples of a size that grows, at last all.
@@ -325,9 +354,9 @@ def near_classes(docs: DataFrame) -> DataFrame:
         largest = open_.agg(F.max("size")).first()[0]
         own = stored(own_elements(sets, open_), "dedup-own")
         nodes_of = open_.join(own, "digest", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0)))
-        nodes_of = nodes_of.join(bands, "digest").select("bucket", "band", "digest", "n", "most", "part", "bands")
+        nodes_of = nodes_of.join(bands, "digest").select("bucket", "band", "digest", "n", "most", "part", "bands", "sketch")
         if share is None:
-            best = F.min_by(F.struct("digest", "n", "most", "part", "bands"), F.struct(1 - F.col("most") / F.col("n"), "digest"))
+            best = F.min_by(F.struct("digest", "n", "most", "part", "bands", "sketch"), F.struct(1 - F.col("most") / F.col("n"), "digest"))
             leads = nodes_of.groupBy("bucket").agg(best.alias("o")).select("bucket", "o.*")
             share, once = GROWTH, F.lit(True)
             while share < largest:
@@ -341,7 +370,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
             same = F.zip_with("bands", "other_bands", lambda x, y: x == y)
             once = F.array_position(same, F.lit(True)) == F.col("band") + 1
         leads = stored(
-            leads.select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("digest", "n", "most", "part", "bands")]),
+            leads.select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("digest", "n", "most", "part", "bands", "sketch")]),
             "dedup-leads",
         )
         met = nodes_of.join(leads, "bucket").where(
@@ -349,6 +378,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
             & ((F.lit(share) > 1) | (F.col("digest") < F.col("other_digest")))
             & possible(F.col("n"), F.col("other_n"), F.col("most"), F.col("other_most"))
             & once
+            & alike("sketch", "other_sketch")
         )
         fresh = met.select(*pair("digest", "other_digest")).distinct().join(tested, ["a", "b"], "left_anti")
         fresh = stored(fresh, "dedup-pairs")
