@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -32,6 +32,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Columns that a job does not read travel in one struct, so no name of theirs can clash.
+REST = "_rest"
+
+
+def wrapped(docs: DataFrame, *own: str) -> DataFrame:
+    """``docs`` with its own columns as they are and all others in one."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in own]
+    # A struct needs a field, and this one a name that no column has.
+    filler = "_" * (1 + max(map(len, docs.columns)))
+    return docs.select(*own, F.struct(F.lit(0).alias(filler), *others).alias(REST))
+
+
+def unwrapped(docs: DataFrame, *own: str, without: Iterable[str] = ()) -> list[Column]:
+    """The columns of ``docs`` out of what ``wrapped`` made, in their order."""
+    return [
+        (F.col(c) if c in own else F.col(REST).getField(c)).alias(c) for c in docs.columns if c not in without
+    ]
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text; empty for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evalspark.llm.common import Remembered, in_chunks, kept, stored, texts
+from evalspark.llm.common import Remembered, in_chunks, kept, stored, texts, unwrapped, wrapped
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -426,7 +426,8 @@ def distinct_documents(docs: DataFrame) -> DataFrame:
     """
     classes = near_classes(docs)
     heads = classes.where(F.col("digest") == F.col("head")).select(F.col("digest").alias("_digest"), F.col("first_id").alias("_first"))
-    keyed = docs.withColumn("_digest", digest(F.col("text")))
+    own = ("doc_id", "text")
+    keyed = wrapped(docs, *own).withColumn("_digest", digest(F.col("text")))
     counts = keyed.select("_digest", F.col("doc_id").cast("long").alias("_first")).groupBy("_digest", "_first").count()
     repeated = counts.where("count > 1").select("_digest", "_first").withColumn("_again", F.lit(True))
     same = F.col("k._digest").eqNullSafe(F.col("h._digest")) & F.col("k._first").eqNullSafe(F.col("h._first"))
@@ -439,4 +440,4 @@ def distinct_documents(docs: DataFrame) -> DataFrame:
     ).select("d.*", F.col("h._digest").alias("_head"), "_again")
     alone = found.where((F.col("_head").isNotNull() & ~F.col("_again")) | F.col("_digest").isNull())
     again = found.where(F.col("_again")).dropDuplicates(["_digest"])
-    return alone.unionByName(again).select(*docs.columns)
+    return alone.unionByName(again).select(*unwrapped(docs, *own))

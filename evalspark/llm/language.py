@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evalspark.llm.common import in_chunks, stored, texts
+from evalspark.llm.common import in_chunks, stored, texts, unwrapped, wrapped
 
 #: Features: n-grams of 1 to 3 characters, hashed to so many bits.
 BITS = 15
@@ -259,5 +259,6 @@ def identify(docs: DataFrame, **options) -> DataFrame:
 
 def known_language(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
     """``docs`` without documents whose language is unknown or too uncertain."""
-    found = predict(docs.select("*"), train(docs))
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select(*docs.columns)
+    found = predict(wrapped(docs, "text"), train(docs))
+    known = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
+    return known.select(*unwrapped(docs, "text"))

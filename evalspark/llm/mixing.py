@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evalspark.llm.common import WORD, stored
+from evalspark.llm.common import REST, WORD, stored, unwrapped, wrapped
 
 #: Ranks are located by two rounds of counts, each over this many ranges.
 RANGES = 4096
@@ -92,8 +92,15 @@ def mixed(
     documents of that range are ordered. Limits are one row per source and length class.
     """
     new = ["size", "source_size", "target", "taken"]
+    own = ["doc_id", "text", "source"]
+    got = _mixed(wrapped(docs, *own), weights, share, most, seed)
+    return got.select(*new, *unwrapped(docs, *own, without=new))
+
+
+def _mixed(docs: DataFrame, weights: tuple[float, ...], share: float, most: int, seed: int) -> DataFrame:
+    """The mix over ``doc_id, text, source`` and one column with all others."""
     at = "_key"
-    keyed = docs.drop(*new).select(
+    keyed = docs.select(
         "*",
         n_words(F.col("text")).alias("size"),
         uniform(seed, F.col("doc_id"), F.col("text")).alias("_u"),
@@ -187,7 +194,7 @@ def mixed(
         F.coalesce("source_size", F.lit(0)).alias("source_size"),
         F.coalesce("target", F.lit(0.0)).alias("target"),
         (F.col("size") * copies).alias("taken"),
-        *[F.col(c) for c in docs.columns if c not in new],
+        *docs.columns,
     )
 
 
@@ -211,8 +218,7 @@ def with_rates(rows: DataFrame, rates: DataFrame) -> DataFrame:
 def mix_rows(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as often as it is taken, in the columns of ``docs``."""
     own = ["doc_id", "text", "source"]
-    rest = [F.col(c) for c in docs.columns if c not in own]
-    got = mixed(docs.select(*own, F.struct(F.lit(0).alias("_"), *rest).alias("_rest")), **options)
+    got = mixed(wrapped(docs, *own), **options)
     times = F.when(F.col("size") > 0, F.floor(F.try_divide("taken", "size")).cast("int")).otherwise(0)
-    copies = got.where("taken > 0").select(*own, "_rest", F.explode(F.array_repeat(F.lit(0), times)).alias("_copy"))
-    return copies.select(*[F.col(c if c in own else f"_rest.`{c}`") for c in docs.columns])
+    copies = got.where("taken > 0").select(*own, REST, F.explode(F.array_repeat(F.lit(0), times)).alias("copy"))
+    return copies.select(*unwrapped(docs, *own))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evalspark.llm.common import in_chunks
+from evalspark.llm.common import in_chunks, unwrapped, wrapped
 
 ROUNDS = 10
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1), datetime.date(2099, 12, 31)
@@ -147,7 +147,11 @@ def social(found: str, key: bytes) -> str | None:
 
 
 def date(found: str, key: bytes) -> str | None:
-    """Year first, else day or month first, whichever is a date (day first if both are)."""
+    """Year first, else day or month first, whichever is a date (day first if both are).
+
+    Days up to 12 and days after 12 are permuted each among themselves. So a month-first
+    date stays one that cannot be read day first, and all spellings of a date move alike.
+    """
     parts = re.split(r"[-/.]", found)
     if len(parts[0]) == 4:
         orders = [(0, 1, 2)]
@@ -160,8 +164,11 @@ def date(found: str, key: bytes) -> str | None:
             continue
         if FIRST_DAY <= value <= LAST_DAY:
             span = (LAST_DAY - FIRST_DAY).days + 1
-            moved = permuted((value - FIRST_DAY).days, span, key, "date")
-            new = FIRST_DAY + datetime.timedelta(moved)
+            new = value
+            while new == value or (new.day > 12) != (value.day > 12):
+                new = FIRST_DAY + datetime.timedelta(permuted((new - FIRST_DAY).days, span, key, "date"))
+                if new == value:  # a walk that comes back holds no other date of its kind
+                    break
             fields = {year: f"{new.year:04d}", month: f"{new.month:02d}", day: f"{new.day:02d}"}
             return filled(re.sub(r"\d+", lambda m: "0" * max(2, len(m[0])), found), "".join(fields[i] for i in range(3)))
     return None
@@ -216,7 +223,9 @@ NUMBERS: tuple[tuple[str, Callable, re.Pattern], ...] = tuple(
         ),
     )
 )
-EMAIL = re.compile(r"[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+#: Behind the sign of an address, and before it, read backwards; a name has at most 64 characters.
+EMAIL_HOST = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+EMAIL_NAME = re.compile(r"[\w.%+-]{1,64}")
 ACCOUNT = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])")
 SECRET = re.compile(
     r"(?i:token|secret|password|api[_-]?key)\s*[=:]\s*\"?[0-9A-Fa-f]{16,}\"?", re.A
@@ -258,6 +267,19 @@ def next_value(
     return None
 
 
+def next_email(text: str, at: int, key: bytes) -> Value | None:
+    """The first address from ``at`` on, found from its sign, so that long runs cost no search."""
+    sign = text.find("@", at)
+    while sign >= 0:
+        host = EMAIL_HOST.match(text, sign)
+        name = host and EMAIL_NAME.match(text[max(at, sign - 64) : sign][::-1])
+        if name:
+            start, end = sign - name.end(), host.end()
+            return start, end, email(text[start:end], key)
+        sign = text.find("@", sign + 1)
+    return None
+
+
 def numbers(span: str, key: bytes, kinds: list[str]) -> str:
     """The values of a numeric stretch replaced, leftmost first.
 
@@ -295,10 +317,10 @@ def pseudonymised(text: str, key: bytes) -> tuple[str, list[str]]:
     if not MAYBE.search(text):
         return text, kinds
 
-    def apply(pattern: re.Pattern, rule: Callable, name: str, part: str) -> list:
+    def apply(find: Callable[[str, int], Value | None], name: str, part: str) -> list:
         """Stretches of ``part``; replaced ones as one-element tuples."""
         out, at = [], 0
-        while value := next_value(pattern, rule, part, at, key):
+        while value := find(part, at):
             start, end, new = value
             kinds.append(name)
             out += [part[at:start], (new,)]
@@ -306,10 +328,12 @@ def pseudonymised(text: str, key: bytes) -> tuple[str, list[str]]:
         return [*out, part[at:]]
 
     parts: list = [text]
-    for name, rule, pattern in (("secret", secret, SECRET), ("email", email, EMAIL), ("account", account, ACCOUNT)):
-        if name == "email" and "@" not in text:
-            continue
-        parts = [q for p in parts for q in ([p] if isinstance(p, tuple) else apply(pattern, rule, name, p))]
+    for name, find in (
+        ("secret", lambda part, at: next_value(SECRET, secret, part, at, key)),
+        ("email", lambda part, at: next_email(part, at, key)),
+        ("account", lambda part, at: next_value(ACCOUNT, account, part, at, key)),
+    ):
+        parts = [q for p in parts for q in ([p] if isinstance(p, tuple) else apply(find, name, p))]
     return "".join(
         p[0] if isinstance(p, tuple) else NUMERIC.sub(lambda m: numbers(m[0], key, kinds), p) for p in parts
     ), kinds
@@ -349,10 +373,11 @@ def pseudonyms(docs: DataFrame, key: bytes = b"set the key of the corpus here")
     return docs.mapInArrow(task, T.StructType(fields))
 
 
-def private(docs: DataFrame) -> DataFrame:
+def private(docs: DataFrame, key: bytes = b"set the key of the corpus here") -> DataFrame:
     """``docs`` with pseudonyms in their texts, ``n_chars`` counted anew where they have it."""
-    got = pseudonyms(docs).select(*docs.columns)
-    if "n_chars" in docs.columns:
+    own = [c for c in ("text", "n_chars") if c in docs.columns]
+    got = pseudonyms(wrapped(docs, *own), key)
+    if "n_chars" in own:
         n = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text"))
         got = got.withColumn("n_chars", n.cast(docs.schema["n_chars"].dataType))
-    return got
+    return got.select(*unwrapped(docs, *own))

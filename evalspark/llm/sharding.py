@@ -18,7 +18,7 @@ from bisect import bisect_left
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evalspark.llm.common import stored
+from evalspark.llm.common import REST, stored, unwrapped, wrapped
 
 #: A shard's rows are permuted in so many ranges of their random number.
 RANGES = 1024
@@ -91,10 +91,10 @@ def sharded(docs: DataFrame, shards: int = 8, seed: int = 29) -> DataFrame:
     one of 1024 ranges of a shard's random numbers; a range's first slot is the sum of the
     counts of the ranges before it.
     """
-    own = [c for c in docs.columns if c not in ("shard", "slot")]
+    new = ("shard", "slot")
     numbered = stored(
-        docs.select(
-            *own,
+        wrapped(docs.drop(*new)).select(
+            REST,
             F.spark_partition_id().alias("_part"),
             F.monotonically_increasing_id().alias("_row"),
         ),
@@ -135,7 +135,7 @@ def sharded(docs: DataFrame, shards: int = 8, seed: int = 29) -> DataFrame:
         dealt.withColumn("_local", local)
         .join(bases, ["shard", "_range"])
         .withColumn("slot", (F.col("_base") + F.col("_local") - 1).cast("long"))
-        .select(*own, "shard", "slot")
+        .select(*unwrapped(docs, without=new), *new)
     )
 
 

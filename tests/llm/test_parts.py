@@ -4,6 +4,7 @@ import datetime
 import io
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -249,3 +250,37 @@ def test_temperature_does_not_claim_certainty():
     assert language.temperature(logits, [0] * 50) > 0.1
     assert language.temperature(logits, [0, 1] * 25) > 5
     assert language.temperature([], []) == 1.0
+
+
+@pytest.mark.parametrize("form", ["{y:04d}-{m:02d}-{d:02d}", "{d:02d}/{m:02d}/{y:04d}", "{m:02d}.{d:02d}.{y:04d}"])
+def test_dates_are_permuted_one_to_one(form):
+    day, seen, moved = pii.FIRST_DAY, set(), {}
+    while day <= pii.LAST_DAY:
+        text = form.format(y=day.year, m=day.month, d=day.day)
+        if text not in seen:
+            seen.add(text)
+            moved[text] = pii.date(text, b"k")
+        day += datetime.timedelta(1)
+    assert set(moved.values()) == seen
+
+
+def test_spellings_of_a_date_move_alike():
+    for day in (datetime.date(1999, 12, 31), datetime.date(2020, 2, 29), datetime.date(1950, 1, 5)):
+        year_first = datetime.date.fromisoformat(pii.date(day.isoformat(), b"k"))
+        assert pii.date(day.strftime("%d/%m/%Y"), b"k") == year_first.strftime("%d/%m/%Y")
+        if day.day > 12:
+            assert pii.date(day.strftime("%m/%d/%Y"), b"k") == year_first.strftime("%m/%d/%Y")
+
+
+@pytest.mark.parametrize(
+    "text", ["x" * 1_000_000 + "@", "@" * 300_000, "a@b." * 100_000, "x" * 1_000_000 + "@a.org", "a.b-" * 250_000]
+)
+def test_long_runs_are_searched_in_linear_time(text):
+    started = time.perf_counter()
+    pii.pseudonymised(text, b"k")
+    assert time.perf_counter() - started < 5
+
+
+def test_addresses_next_to_signs():
+    new, kinds = pii.pseudonymised("@@ab@c@de.fg@host.org@x, u@v.w x", b"k")
+    assert kinds == ["email"] and re.fullmatch(r"@@ab@[a-z]@de\.fg@host\.org@x, u@v\.w x", new)
