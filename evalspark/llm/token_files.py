@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from evalspark.llm import tokens
 from evalspark.llm.common import filesystem, in_chunks, stored, texts
 from evalspark.llm.elias_fano import EliasFano
-from evalspark.session import scratch_path
+from evalspark.session import qualified, scratch_path
 
 MAGIC = b"EFTOKEN1"
 MANIFEST = "shard int, part int, path string, n_docs long, n_ids long, n_bytes long"
@@ -227,5 +227,5 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
 
 def token_file_round_trip(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """Write all documents to token files in the shared scratch folder and read them."""
-    folder = scratch_path(docs.sparkSession, "token-files")
+    folder = qualified(docs.sparkSession, scratch_path(docs.sparkSession, "token-files"))
     return read_token_files(write_token_files(docs, folder, tokenizer))

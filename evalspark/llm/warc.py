@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evalspark.llm.common import filesystem, in_chunks, stored
-from evalspark.session import scratch_path
+from evalspark.session import qualified, scratch_path
 
 VERSION = b"WARC/1.1\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -253,4 +253,5 @@ def read_archives(manifest: DataFrame) -> DataFrame:
 
 def archive_round_trip(pages: DataFrame, **options) -> DataFrame:
     """Write all pages below the shared scratch folder and read the archives."""
-    return read_archives(write_archives(pages, scratch_path(pages.sparkSession, "warc"), **options))
+    folder = qualified(pages.sparkSession, scratch_path(pages.sparkSession, "warc"))
+    return read_archives(write_archives(pages, folder, **options))
