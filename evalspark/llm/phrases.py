@@ -1,10 +1,12 @@
 """Collocations: phrases of two to five words that occur more often than their parts suggest.
 
-Texts become chunks of word ids. For each length, every chunk counts its n-grams in a
-quotient filter, filters are cut at ranges of quotients, and each range is merged over all
-chunks. Chunks get back one bit for each of their n-grams, whether it is frequent: only
-those can begin a frequent phrase of one word more. Ids belong to (language, word), so
-languages never meet in a filter, and no language is a key of any shuffle of n-grams.
+Texts become chunks of word numbers, kept as files in the shared scratch folder. For each
+length, every chunk counts its n-grams in a quotient filter, filters are cut at ranges of
+quotients, and each range is merged over all chunks. Chunks get back one bit for each of
+their n-grams, whether it is frequent: only those can begin a frequent phrase of one word
+more. Words are counted and numbered in the same way first. So no n-gram is ever a row, and
+chunks do not move: only filters and bits do. Ids belong to (language, word), so languages
+never meet in a filter, and no language is a key of any shuffle of words or n-grams.
 """
 
 from __future__ import annotations
@@ -13,41 +15,44 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evalspark.llm.common import in_chunks, stored, texts
-from evalspark.llm.quotient_filter import QuotientFilter, counted, lane_bits, restored, unpacked
+from evalspark.llm.common import filesystem, in_chunks, stored, texts
+from evalspark.llm.quotient_filter import QuotientFilter, counted, lane_bits, restored, unpacked, unused_bits
+from evalspark.session import qualified, scratch_path
 
 LEAST = 100
 LONGEST = 5
 TOP = 2000
 #: Words of a chunk, about; n-grams of a range of quotients, at most about.
-CHUNK_WORDS = 1 << 20
+CHUNK_WORDS = 1 << 21
 RANGE_GRAMS = 1 << 20
-#: Frequent words that are numbered by one task.
-BUCKET = 100_000
+#: Bytes of text for each part that words are counted in.
+PART_BYTES = 32 << 20
 #: Parts of a language whose best phrases are found before those of the language.
 SALTS = 64
-#: Ends of pieces become a byte that no text has; it is the word with id 0.
+#: Ends of pieces become a byte that no text has; it is the word with id 0. The same byte
+#: stands between a language and a word.
 END = b"\xff"
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + END * 10)
-CHUNK = "chunk long, ids binary, words array<struct<lang:string,word:binary,n:bigint>>"
-STATE = "chunk long, part long, filter binary, ids binary, valid binary, places binary, n_valid long"
-MERGED = "chunk long, part long, n long, bits binary, ids array<bigint>, count long"
+SLICE = "chunk long, part long, data binary"
+WORDS = "chunk long, part long, n long, places binary, lang string, word binary, rank long"
+MERGED = "chunk long, part long, n long, bits binary, ids array<bigint>"
 
 
 class _Words(dict):
     """Numbers from 1 for the words of one language, in the order they are met."""
 
-    def __init__(self, lang: str, known: list[tuple[str, bytes]]):
+    def __init__(self, lang: str, known: list[bytes]):
         super().__init__()
-        self.lang, self.known = lang, known
+        self.before, self.known = lang.encode() + END, known
         self[END] = 0
 
     def __missing__(self, word: bytes) -> int:
-        self.known.append((self.lang, word))
+        self.known.append(self.before + word)
         number = self[word] = len(self.known)
         return number
 
@@ -57,193 +62,236 @@ def split(text: bytes) -> list[bytes]:
     return text.translate(_TABLE).replace(END, b" " + END + b" ").split()
 
 
-def chunks(docs: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """Word numbers of texts, chunk by chunk, and the words of each chunk with their counts."""
+def packed_bytes(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def plain_bytes(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+class ChunkFiles:
+    """What a chunk keeps between the passes: arrays by name, written whole or not at all."""
+
+    def __init__(self, folder: str, chunk: int):
+        self.stem = f"{folder}/{chunk:x}"
+
+    def write(self, name: str, values: np.ndarray) -> None:
+        files, place = filesystem(f"{self.stem}.{name}")
+        files.create_dir(place.rpartition("/")[0], recursive=True)
+        own = f"{place}.{TaskContext.get().taskAttemptId()}"
+        with files.open_output_stream(own) as out:
+            out.write(packed_bytes(np.ascontiguousarray(values).tobytes()))
+        files.move(own, place)
+
+    def read(self, name: str, dtype: str) -> np.ndarray:
+        files, place = filesystem(f"{self.stem}.{name}")
+        with files.open_input_stream(place) as source:
+            return np.frombuffer(plain_bytes(source.read()), dtype)
+
+
+def word_slices(docs: DataFrame, folder: str, parts: int, chunk_words: int) -> DataFrame:
+    """Words of chunks with their counts, cut in ``parts`` by hash; the chunks go to files.
+
+    A chunk numbers its words part after part, so a slice is a range of numbers.
+    """
+    import xxhash
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn, size, parts = 0, 0, []
-        known: list[tuple[str, bytes]] = []
+        turn, size, pieces = 0, 0, []
+        known: list[bytes] = []
         words: dict[str, _Words] = {}
 
-        def chunk() -> pa.RecordBatch:
-            ids = np.concatenate(parts)
+        def chunk() -> Iterator[pa.RecordBatch]:
+            ids = np.concatenate(pieces)
             # Of ends in a row one is enough.
             ids = ids[(ids > 0) | np.r_[True, ids[:-1] > 0]]
-            counts = np.bincount(ids, minlength=len(known) + 1)[1:]
-            entries = pa.StructArray.from_arrays(
-                [
-                    pa.array([lang for lang, _ in known], pa.string()),
-                    pa.array([word for _, word in known], pa.binary()),
-                    pa.array(counts, pa.int64()),
-                ],
-                names=["lang", "word", "n"],
-            )
-            number = TaskContext.get().partitionId() << 32 | turn
-            lists = pa.ListArray.from_arrays(pa.array([0, len(known)], pa.int32()), entries)
-            data = ids.astype("<u2" if len(known) < 1 << 16 else "<u4").tobytes()
-            # The width of a number follows from how many words there are.
-            return pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int64()), pa.array([data], pa.binary()), lists], names=["chunk", "ids", "words"]
-            )
-
-        for piece in in_chunks(batches, "text", 2 << 20):
+            part = np.fromiter((xxhash.xxh64_intdigest(w) % parts for w in known), np.int64, len(known))
+            table = pa.table([pa.array(part), pa.array(known, pa.binary())], names=["part", "word"])
+            order = pc.sort_indices(table, [("part", "ascending"), ("word", "ascending")]).to_numpy().astype(np.int64)
+            number = np.empty(len(known) + 1, np.uint32)
+            number[0], number[order + 1] = 0, np.arange(1, len(known) + 1)
+            counts = np.bincount(ids, minlength=len(known) + 1)[1:][order]
+            name = TaskContext.get().partitionId() << 32 | turn
+            ChunkFiles(folder, name).write("words", number[ids])
+            sorted_words = table.column("word").combine_chunks().take(pa.array(order))
+            bounds = np.searchsorted(part[order], np.arange(parts + 1))
+            for p in np.unique(part).tolist():
+                low, high = int(bounds[p]), int(bounds[p + 1])
+                own = pa.record_batch(
+                    [sorted_words.slice(low, high - low), pa.array(counts[low:high], pa.int64())], names=["word", "n"]
+                )
+                yield _slice(name, p, _as_bytes(own))
+
+        for batch in in_chunks(batches, "text", 2 << 20):
             by: dict[str, list[bytes]] = {}
-            for lang, text in zip(piece.column("lang").to_pylist(), texts(piece, "text")):
+            for lang, text in zip(batch.column("lang").to_pylist(), texts(batch, "text")):
                 by.setdefault(lang, []).append(text)
             for lang, own in by.items():
                 own_words = words.get(lang)
                 if own_words is None:
                     own_words = words[lang] = _Words(lang, known)
                 tokens = split(END.join(own) + END)
-                parts.append(np.fromiter(map(own_words.__getitem__, tokens), np.uint32, len(tokens)))
+                pieces.append(np.fromiter(map(own_words.__getitem__, tokens), np.uint32, len(tokens)))
                 size += len(tokens)
             if size >= chunk_words:
                 if known:
-                    yield chunk()
-                turn, size, parts, known, words = turn + 1, 0, [], [], {}
+                    yield from chunk()
+                turn, size, pieces, known, words = turn + 1, 0, [], [], {}
         if known:
-            yield chunk()
+            yield from chunk()
 
-    return docs.mapInArrow(task, CHUNK)
+    return docs.mapInArrow(task, SLICE)
 
 
-def dictionary(entries: DataFrame, least: int) -> DataFrame:
-    """``id`` (from 1, without gaps), ``lang, word, n`` of the words that occur often enough.
-
-    Words are numbered within buckets of a hash; a bucket's first number is the sum of the
-    sizes of those before it.
-    """
-    found = entries.groupBy("lang", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    found = stored(found, "phrase-words")
-    buckets = 1 + found.count() // BUCKET
-    placed = found.withColumn("bucket", F.pmod(F.xxhash64("lang", "word"), F.lit(buckets)))
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = placed.groupBy("bucket").count().withColumn("base", F.coalesce(F.sum("count").over(before), F.lit(0)))
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("lang", "word"))
-    numbered = placed.withColumn("rank", rank).join(bases, "bucket")
-    return stored(
-        numbered.select((F.col("base") + F.col("rank")).cast("long").alias("id"), "lang", "word", "n"),
-        "phrase-dictionary",
+def _slice(chunk: int, part: int, data: bytes) -> pa.RecordBatch:
+    return pa.record_batch(
+        [pa.array([chunk], pa.int64()), pa.array([part], pa.int64()), pa.array([packed_bytes(data)], pa.binary())],
+        names=["chunk", "part", "data"],
     )
 
 
-def _slices(filter_: QuotientFilter, chunk: int, skip: int) -> Iterator[dict]:
-    for part in filter_.parts(skip):
-        yield {"chunk": chunk, "part": part.part, "filter": part.to_bytes()}
+def _as_bytes(batch: pa.RecordBatch) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema) as stream:
+        stream.write_batch(batch)
+    return out.getvalue().to_pybytes()
 
 
-def _level(ids: np.ndarray, alive: np.ndarray, length: int, bits: int, skip: int, chunk: int) -> pa.RecordBatch:
-    """Rows of one chunk: its state with the place of each n-gram, and its slices.
+def merge_words(slices: DataFrame, least: int) -> DataFrame:
+    """Per part: places of each slice's words among the frequent ones (from 1, 0 for others),
+    the frequent words with their rank, and the sum of all words of each language."""
 
-    ``alive`` tells where a frequent phrase of ``length - 1`` words begins.
-    """
-    valid = np.zeros(len(ids), bool)
-    valid[:-1] = alive[:-1] & alive[1:]
-    at = np.flatnonzero(valid)
-    rows: list[dict] = []
+    def task(table: pa.Table) -> pa.Table:
+        table = table.sort_by("chunk")
+        found = [pa.ipc.open_stream(plain_bytes(data.as_py())).read_all() for data in table.column("data")]
+        both = pa.concat_tables(found)
+        coded = pc.dictionary_encode(both.column("word").combine_chunks())
+        index = coded.indices.to_numpy()
+        sums = np.zeros(len(coded.dictionary), np.int64)
+        np.add.at(sums, index, both.column("n").to_numpy())
+        frequent = sums >= least
+        place = np.where(frequent, np.cumsum(frequent), 0).astype("<u4")
+        of_slices = np.split(place[index], np.cumsum([len(t) for t in found])[:-1])
+        totals: dict[bytes, int] = {}
+        often = []
+        for word, n, rank in zip(coded.dictionary.to_pylist(), sums.tolist(), place.tolist()):
+            lang, _, word = word.partition(END)
+            totals[lang] = totals.get(lang, 0) + n
+            if rank:
+                often.append((lang.decode(), word, n, rank))
+        langs = [(lang.decode(), None, n, None) for lang, n in totals.items()]
+        rest = often + langs
+        part = table.column("part")[0].as_py()
+        none = [None] * len(rest)
+        own = [None] * len(found)
+        return pa.table(
+            [
+                pa.array(table.column("chunk").to_pylist() + none, pa.int64()),
+                pa.array([part] * (len(found) + len(rest)), pa.int64()),
+                pa.array(own + [n for *_, n, _ in rest], pa.int64()),
+                pa.array([packed_bytes(p.tobytes()) for p in of_slices] + none, pa.binary()),
+                pa.array(own + [lang for lang, *_ in rest], pa.string()),
+                pa.array(own + [word for _, word, *_ in rest], pa.binary()),
+                pa.array(own + [rank for *_, rank in rest], pa.int64()),
+            ],
+            names=[c.split()[0] for c in WORDS.split(", ")],
+        )
+
+    return slices.groupBy("part").applyInArrow(task, WORDS)
+
+
+def _gram_slices(ids: np.ndarray, alive: np.ndarray, length: int, bits: int, skip: int, chunk: int):
+    """The filter of one chunk in slices; ``alive`` tells where a phrase of one word less begins."""
+    at = _valid(alive)
     if len(at):
-        filter_, places = counted([ids[at + i].astype(np.uint64) for i in range(length)], bits)
-        width = "<u2" if bits <= 16 else "<u4" if bits <= 32 else "<u8"
-        state = {
-            "chunk": chunk,
-            "ids": ids.astype(width).tobytes(),
-            "valid": np.packbits(valid).tobytes(),
-            "places": places.astype("<u4").tobytes(),
-            "n_valid": len(at),
-        }
-        rows = [state, *_slices(filter_, chunk, skip)]
-    kinds = [("chunk", pa.int64()), ("part", pa.int64())]
-    kinds += [(c, pa.binary()) for c in ("filter", "ids", "valid", "places")] + [("n_valid", pa.int64())]
-    return pa.RecordBatch.from_pylist(rows, schema=pa.schema(kinds))
-
-
-def _small_batches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """The state alone, then slices by the hundred."""
-    yield batch.slice(0, 1)
-    for at in range(1, len(batch), 100):
-        yield batch.slice(at, 100)
-
-
-def first_level(chunk_rows: DataFrame, own_ids: DataFrame, bits: int, skip: int) -> DataFrame:
-    """States and slices of pairs of words, from chunks and the ids of their words."""
+        filter_, _ = counted([ids[at + i] for i in range(length)], bits)
+        for part in filter_.parts(skip + unused_bits(length, bits)):
+            yield _slice(chunk, part.part, part.to_bytes())
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(len(batch)):
-                chunk, data, n_words, numbers = (
-                    batch.column(c)[i] for c in ("chunk", "ids", "n_words", "numbers")
-                )
-                known = n_words.as_py()
-                ids = np.frombuffer(data.as_buffer(), "<u2" if known < 1 << 16 else "<u4")
-                of_word = np.zeros(known + 1, np.uint64)
-                pairs = numbers.values
-                of_word[pairs.field("place").to_numpy() + 1] = pairs.field("id").to_numpy().astype(np.uint64)
-                ids = of_word[ids]
-                rows = _level(ids, ids > 0, 2, bits, skip, chunk.as_py())
-                if len(rows):
-                    yield from _small_batches(rows)
 
-    both = chunk_rows.select("chunk", "ids", F.size("words").alias("n_words")).join(own_ids, "chunk")
-    return both.select("chunk", "ids", "n_words", "numbers").mapInArrow(task, STATE)
+def _valid(alive: np.ndarray) -> np.ndarray:
+    """Where an n-gram begins both of whose parts of one word less are frequent."""
+    return np.flatnonzero(alive[:-1] & alive[1:])
+
 
+def first_grams(back: DataFrame, folder: str, bits: int, skip: int) -> DataFrame:
+    """Slices of the pairs of words; the ids of each chunk's words go to its files."""
 
-def next_level(states: DataFrame, bits_back: DataFrame, length: int, bits: int, skip: int) -> DataFrame:
-    """States and slices of one word more, where both shorter phrases are frequent."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, parts in zip(batch.column("chunk").to_pylist(), batch.column("back")):
+                files = ChunkFiles(folder, chunk)
+                ids = [np.zeros(1, np.uint64)]
+                for part in sorted(parts.as_py(), key=lambda b: b["part"]):
+                    places = np.frombuffer(plain_bytes(part["places"]), "<u4").astype(np.uint64)
+                    ids.append(np.where(places > 0, places + np.uint64(part["base"]), 0).astype(np.uint64))
+                of_word = np.concatenate(ids)
+                files.write("ids", of_word)
+                own = of_word[files.read("words", "<u4")]
+                yield from _gram_slices(own, own > 0, 2, bits, skip, chunk)
+                del own
+
+    return back.mapInArrow(task, SLICE)
+
+
+def next_grams(back: DataFrame, folder: str, length: int, bits: int, skip: int) -> DataFrame:
+    """Slices of n-grams of one word more than those that ``back`` has bits for.
+
+    The chunk counts the shorter n-grams again, which gives the order of the bits, and
+    writes where frequent ones begin.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(len(batch)):
-                row = {c: batch.column(c)[i] for c in batch.schema.names}
-                width = "<u2" if bits <= 16 else "<u4" if bits <= 32 else "<u8"
-                ids = np.frombuffer(row["ids"].as_buffer(), width)
-                valid = np.unpackbits(np.frombuffer(row["valid"].as_buffer(), np.uint8), count=len(ids)).astype(bool)
-                places = np.frombuffer(row["places"].as_buffer(), "<u4")
+            for chunk, parts in zip(batch.column("chunk").to_pylist(), batch.column("back")):
+                files = ChunkFiles(folder, chunk)
+                ids = files.read("ids", "<u8")[files.read("words", "<u4")]
+                shorter = length - 1
+                alive = ids > 0
+                if shorter > 2:
+                    alive = np.unpackbits(files.read(f"alive{shorter - 1}", "u1"), count=len(ids)).astype(bool)
+                at = _valid(alive)
+                _, places = counted([ids[at + i] for i in range(shorter)], bits)
                 frequent = np.concatenate(
                     [
-                        np.unpackbits(np.frombuffer(b["bits"], np.uint8), count=b["n"])
-                        for b in sorted(row["back"].as_py(), key=lambda b: b["part"])
+                        np.unpackbits(np.frombuffer(plain_bytes(part["bits"]), np.uint8), count=part["n"])
+                        for part in sorted(parts.as_py(), key=lambda b: b["part"])
                     ]
                 ).astype(bool)
                 alive = np.zeros(len(ids), bool)
-                alive[np.flatnonzero(valid)] = frequent[places]
-                # Words outside frequent phrases become one barrier for each stretch of them.
-                covered = alive.copy()
-                for step in range(1, length - 1):
-                    covered[step:] |= alive[:-step]
-                keep = covered | np.r_[False, covered[:-1]]
-                rows = _level(
-                    np.where(covered, ids, 0)[keep].astype(np.uint64), alive[keep], length, bits, skip, row["chunk"].as_py()
-                )
-                if len(rows):
-                    yield from _small_batches(rows)
+                alive[at] = frequent[places]
+                files.write(f"alive{shorter}", np.packbits(alive))
+                yield from _gram_slices(ids, alive, length, bits, skip, chunk)
 
-    both = states.select("chunk", "ids", "valid", "places").join(bits_back, "chunk")
-    return both.mapInArrow(task, STATE)
+    return back.mapInArrow(task, SLICE)
 
 
-def merge(slices: DataFrame, bits: int, least: int) -> DataFrame:
+def merge_grams(slices: DataFrame, length: int, bits: int, least: int) -> DataFrame:
     """Frequent n-grams of each range of quotients, and a bit for each row of each slice."""
 
     def task(table: pa.Table) -> pa.Table:
         table = table.sort_by("chunk")
-        filters = [QuotientFilter.from_bytes(f.as_py()) for f in table.column("filter")]
+        filters = [QuotientFilter.from_bytes(plain_bytes(f.as_py())) for f in table.column("data")]
         merged, places = QuotientFilter.merged(filters)
         frequent = merged.counts >= least
-        lanes = restored(unpacked(merged.rows[frequent], bits), bits)
+        lanes = restored(unpacked(merged.rows[frequent], bits, length), bits)
         grams = np.stack(lanes, axis=1).astype(np.int64).tolist()
-        n = len(filters)
+        n, none = len(filters), [None] * len(grams)
         part = table.column("part")[0].as_py()
-        none = len(grams)
         return pa.table(
             [
-                pa.array(table.column("chunk").to_pylist() + [None] * none, pa.int64()),
-                pa.array([part] * (n + none), pa.int64()),
-                pa.array([len(p) for p in places] + [None] * none, pa.int64()),
-                pa.array([np.packbits(frequent[p]).tobytes() for p in places] + [None] * none, pa.binary()),
+                pa.array(table.column("chunk").to_pylist() + none, pa.int64()),
+                pa.array([part] * (n + len(grams)), pa.int64()),
+                pa.array([len(p) for p in places] + merged.counts[frequent].astype(np.int64).tolist(), pa.int64()),
+                pa.array([packed_bytes(np.packbits(frequent[p]).tobytes()) for p in places] + none, pa.binary()),
                 pa.array([None] * n + grams, pa.list_(pa.int64())),
-                pa.array([None] * n + merged.counts[frequent].astype(np.int64).tolist(), pa.int64()),
             ],
-            names=["chunk", "part", "n", "bits", "ids", "count"],
+            names=[c.split()[0] for c in MERGED.split(", ")],
         )
 
     return slices.groupBy("part").applyInArrow(task, MERGED)
@@ -254,35 +302,54 @@ def _skip(grams: int, range_grams: int, bits: int) -> int:
     return min(bits // 2, (max(1, -(-grams // range_grams)) - 1).bit_length())
 
 
+def counted_words(
+    docs: DataFrame, folder: str, least: int, chunk_words: int, part_bytes: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Frequent words with ids from 1 (``id, lang, word, n``), words of each language, and
+    for each chunk the ids of its words."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = 1 + size // part_bytes
+    merged = stored(merge_words(word_slices(docs, folder, parts, chunk_words), least), "phrase-words")
+    totals = merged.where("chunk is null and word is null").groupBy("lang").agg(F.sum("n").alias("n"))
+    often = merged.where("word is not null")
+    # One row per part; its first id follows those of the parts before it.
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = merged.groupBy("part").agg(F.count("word").alias("size"))
+    bases = stored(
+        bases.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base")), "phrase-bases"
+    )
+    words = often.join(bases, "part").select((F.col("base") + F.col("rank")).alias("id"), "lang", "word", "n")
+    back = merged.where("chunk is not null").join(bases, "part").groupBy("chunk").agg(
+        F.collect_list(F.struct("part", "base", "places")).alias("back")
+    )
+    return stored(words, "phrase-dictionary"), stored(totals, "phrase-totals"), back
+
+
 def frequent_phrases(
-    rows: DataFrame, words: DataFrame, least: int, longest: int, range_grams: int
-) -> DataFrame | None:
-    """``ids, f`` of the phrases of two words and more, from stored chunks and their dictionary."""
-    top = words.agg(F.max("id")).first()[0]
+    words: DataFrame, back: DataFrame, folder: str, least: int, longest: int, range_grams: int
+) -> DataFrame:
+    """``ids, f`` of the phrases of two words and more, from the files of the chunks."""
+    spark = words.sparkSession
+    top, total = words.agg(F.max("id"), F.sum("n")).first()
+    found = spark.createDataFrame([], "ids array<bigint>, f long")
     if not top:
-        return None
+        return found
     bits = lane_bits(top)
-    entries = rows.select("chunk", F.posexplode("words").alias("place", "w")).select("chunk", "place", "w.lang", "w.word")
-    own = entries.join(words.select("id", "lang", "word"), ["lang", "word"])
-    own = own.groupBy("chunk").agg(F.collect_list(F.struct("place", "id")).alias("numbers"))
-    total = words.agg(F.sum("n")).first()[0]
-    skip = _skip(total, range_grams, 2 * bits)
-    level = stored(first_level(rows, own, bits, skip), "phrase-level")
-    found = None
+    slices = first_grams(back, folder, bits, _skip(total, range_grams, 2 * bits))
     for length in range(2, longest + 1):
-        slices = level.where("part is not null").select("chunk", "part", "filter")
-        merged = stored(merge(slices, bits, least), "phrase-merged")
-        grams = merged.where("chunk is null").select("ids", F.col("count").alias("f"))
-        found = grams if found is None else found.unionByName(grams)
-        if length == longest or not grams.limit(1).count():
+        merged = stored(merge_grams(slices, length, bits, least), "phrase-merged")
+        grams = merged.where("chunk is null").select("ids", F.col("n").alias("f"))
+        # As many n-grams of one word more begin where these do, at most.
+        total = grams.agg(F.sum("f")).first()[0]
+        if not total:
             return found
-        back = merged.where("chunk is not null").groupBy("chunk").agg(
-            F.collect_list(F.struct("part", "n", "bits")).alias("back")
-        )
-        states = level.where("part is null")
-        # An n-gram of one word more begins where one of this length does.
-        skip = _skip(states.agg(F.sum("n_valid")).first()[0], range_grams, (length + 1) * bits)
-        level = stored(next_level(states, back, length + 1, bits, skip), "phrase-level")
+        found = found.unionByName(grams)
+        if length < longest:
+            back = merged.where("chunk is not null").groupBy("chunk").agg(
+                F.collect_list(F.struct("part", "n", "bits")).alias("back")
+            )
+            skip = _skip(total, range_grams, (length + 1) * bits)
+            slices = next_grams(back, folder, length + 1, bits, skip)
     return found
 
 
@@ -301,6 +368,7 @@ def collocations(
     top: int = TOP,
     chunk_words: int = CHUNK_WORDS,
     range_grams: int = RANGE_GRAMS,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: each language's best phrases.
 
@@ -313,14 +381,10 @@ def collocations(
     Joins from here on are on phrases that occur ``least`` times, one row each.
     """
     source = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    rows = stored(chunks(source, chunk_words), "phrase-chunks")
-    entries = rows.select(F.explode("words").alias("w")).select("w.lang", "w.word", "w.n")
-    totals = stored(entries.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
-    words = dictionary(entries, least)
     spark = docs.sparkSession
-    found = frequent_phrases(rows, words, least, longest, range_grams)
-    if found is None:
-        found = spark.createDataFrame([], "ids array<bigint>, f long")
+    folder = qualified(spark, scratch_path(spark, "phrase-chunks"))
+    words, totals, back = counted_words(source, folder, least, chunk_words, part_bytes)
+    found = frequent_phrases(words, back, folder, least, longest, range_grams)
     found = stored(found, "phrase-found")
     single = words.select(F.array("id").alias("ids"), F.col("n").alias("f"))
     counts = single.unionByName(found)

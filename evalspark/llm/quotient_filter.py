@@ -27,8 +27,13 @@ def _spread(x: np.ndarray) -> np.ndarray:
 
 
 def lane_bits(top: int) -> int:
-    """Bits of a lane for ids up to ``top``, whole bytes."""
-    return 8 * max(1, -(-top.bit_length() // 8))
+    """Bits of a lane for ids up to ``top``."""
+    return max(1, top.bit_length())
+
+
+def unused_bits(lanes: int, bits: int) -> int:
+    """Zeros before the number in the first byte of a row."""
+    return -lanes * bits % 8
 
 
 def _turn(lanes: list[np.ndarray], bits: int, turn: int, i: int) -> None:
@@ -56,19 +61,30 @@ def restored(lanes: list[np.ndarray], bits: int) -> list[np.ndarray]:
 
 
 def packed(lanes: list[np.ndarray], bits: int) -> np.ndarray:
-    """Rows of big-endian bytes, lane after lane."""
-    size = bits // 8
-    own = [lane.astype(">u8").view(np.uint8).reshape(-1, _WORD)[:, _WORD - size :] for lane in lanes]
-    return np.concatenate(own, axis=1)
-
-
-def unpacked(rows: np.ndarray, bits: int) -> list[np.ndarray]:
-    size = bits // 8
+    """Rows of big-endian bytes of the numbers that the lanes make up, the first one on top."""
+    width = -(-len(lanes) * bits // 8)
+    rows = np.zeros((len(lanes[0]), width), np.uint8)
+    for byte in range(width):
+        low = 8 * (width - 1 - byte)  # the byte's lowest bit in the number
+        for i, lane in enumerate(lanes):
+            shift = (len(lanes) - 1 - i) * bits - low  # of the lane against the byte
+            if -bits < shift < 8:
+                moved = lane << np.uint64(shift) if shift >= 0 else lane >> np.uint64(-shift)
+                rows[:, byte] |= (moved & np.uint64(255)).astype(np.uint8)
+    return rows
+
+
+def unpacked(rows: np.ndarray, bits: int, lanes: int) -> list[np.ndarray]:
+    width, mask = rows.shape[1], np.uint64((1 << bits) - 1)
     out = []
-    for at in range(0, rows.shape[1], size):
-        whole = np.zeros((len(rows), _WORD), np.uint8)
-        whole[:, _WORD - size :] = rows[:, at : at + size]
-        out.append(whole.view(">u8").reshape(-1).astype(np.uint64))
+    for i in range(lanes):
+        lane = np.zeros(len(rows), np.uint64)
+        for byte in range(width):
+            shift = 8 * (width - 1 - byte) - (lanes - 1 - i) * bits
+            if -8 < shift < bits:
+                own = rows[:, byte].astype(np.uint64)
+                lane |= own << np.uint64(shift) if shift >= 0 else own >> np.uint64(-shift)
+        out.append(lane & mask)
     return out
 
 
