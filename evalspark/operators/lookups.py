@@ -129,12 +129,7 @@ def snp_genes_book(tables: Tables) -> DataFrame:
         .groupBy("rsid")
         .agg(ordered_values(F.col("rnk"), F.col("name")).alias("names"))
     )
-    return names.select(
-        F.lit("snp_gene").alias("kind"),
-        F.col("rsid").alias("arg"),
-        F.array_join("names", fixed.LIST_SEPARATOR).alias("predicted"),
-        F.lit("ok").alias("status"),
-    )
+    return _book("snp_gene", names, "rsid", F.array_join("names", fixed.LIST_SEPARATOR), F.lit("ok"))
 
 
 def snp_chromosome_book(tables: Tables) -> DataFrame:
@@ -379,9 +374,10 @@ def look_up(questions: DataFrame, book: DataFrame, typed: bool = False) -> DataF
         F.coalesce("status", F.lit("missing"))
     )
     kept = [c for c in questions.columns if c not in ("predicted", "status", "answers")]
-    got = joined.select(*kept, predicted.alias("predicted"), status.alias("status"), "listed")
+    answered = [*kept, predicted.alias("predicted"), status.alias("status")]
     if not typed:
-        return got.drop("listed")
+        return joined.select(*answered)
+    got = joined.select(*answered, "listed")
     several = F.when(F.col("status") == "ok", F.col("listed"))
     return got.select(*kept, "predicted", "status", F.coalesce(several, F.array("predicted")).alias("answers"))
 
