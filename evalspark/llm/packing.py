@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from evalspark.llm import tokens
-from evalspark.llm.common import in_chunks, texts
+from evalspark.llm.common import in_chunks
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -176,9 +176,9 @@ def pack_documents(
                 [pa.array(c, f.type) for c, f in zip(columns, ARROW)], schema=ARROW
             )
 
-        for batch in in_chunks(batches, "text"):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch, "text")):
-                ids = np.frombuffer(coder.encode(text), coder.dtype)
+        for batch in in_chunks(batches, "text", tokens.CHUNK):
+            doc_ids = batch.column("doc_id").to_pylist()
+            for doc_id, ids in zip(doc_ids, coder.encode_all(batch.column("text"))):
                 piece = Piece(doc_id, ids, 0, len(ids))
                 while piece.length >= window:
                     whole.append((window, [piece.cut(window)]))

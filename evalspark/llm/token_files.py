@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evalspark.llm import tokens
-from evalspark.llm.common import filesystem, in_chunks, stored, texts
+from evalspark.llm.common import filesystem, in_chunks, stored
 from evalspark.llm.elias_fano import EliasFano
 from evalspark.session import qualified, scratch_path
 
@@ -168,12 +168,13 @@ def write_token_files(
             size = writer.close()
             rows.append((shard, len(rows), writer.path, len(writer.ends), writer.n_ids, size))
 
-        for batch in in_chunks(batches, "text"):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch, "text")):
+        for batch in in_chunks(batches, "text", tokens.CHUNK):
+            doc_ids = batch.column("doc_id").to_pylist()
+            for doc_id, ids in zip(doc_ids, coder.encode_all(batch.column("text"))):
                 if writer is None:
                     name = f"{shard:06d}-{len(rows):04d}-{attempt}.eft"
                     writer = TokenFileWriter(f"{folder}/{name}", coder.dtype)
-                writer.add(doc_id, coder.encode(text))
+                writer.add(doc_id, ids.tobytes())
                 if writer.n_ids >= most_ids:
                     done()
                     writer = None

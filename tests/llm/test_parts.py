@@ -5,8 +5,10 @@ import io
 import random
 import re
 import time
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from evalspark.llm import dedup, language, packing, pii, sharding, tokens, warc
@@ -47,6 +49,22 @@ def test_words_have_the_ids_of_whole_texts():
         assert np.frombuffer(coder.encode(text.encode()), coder.dtype).tolist() == [*ids, 1]
 
 
+def test_distinct_words_of_a_slice_are_looked_at_once():
+    coder = tokens.WordCoder(tokens.default_path())
+    assert coder.split
+    asked = Counter()
+    make = coder.pieces.make
+    coder.pieces.make = lambda piece: asked.update([piece]) or make(piece)
+    coder.words.make = lambda word: asked.update([word]) or coder._word(word)
+    # Marks that end words are pieces too; the words they end are no words of their own.
+    rows = ["Éa### xy&&& XY*** 'S xy's ſĿ", None, "", "xy éA###\x0bx<|endoftext|> a<b xy|>", "日本 a\x1cb ŉa İa ĸ"]
+    want = [coder._ids(text or "") + [1] for text in rows]
+    column = pa.array(["unread", *rows], pa.string()).slice(1)
+    assert [ids.tolist() for ids in coder.encode_all(column)] == want
+    assert max(asked.values()) == 1 and not {"xy&&&", "XY***", "XY"} & set(asked)
+    assert asked["xy"] == asked["###"] == asked["éa"] == 1
+
+
 def test_windows_are_full_and_hold_every_id_once():
     rng = random.Random(4)
     tiers = (2048, 1024, 512, 256)
