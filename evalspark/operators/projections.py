@@ -13,12 +13,14 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from evalspark.functions import vectors
+from evalspark.operators import similarity
 from evalspark.operators.similarity import usable
 
 TABLES, BITS, PROBES, SEED = 10, 8, 24, 11
+#: Tables have numbers below this.
+MOST_TABLES = 1 << 12
 
 
 def planes(dim: int, tables: int, bits: int, seed: int) -> np.ndarray:
@@ -111,23 +113,62 @@ def retrieve_by_index(
     bits: int = BITS,
     probes: int = PROBES,
     seed: int = SEED,
+    block_bytes: int = 8 << 20,
 ) -> DataFrame:
     """About the k nearest docs per query by cosine -> (query_id, doc_id, similarity, place).
 
     ``index`` is a stored :func:`projection_index` of ``docs`` with the same settings. A
     query meets each vector once, in however many buckets; all that it meets are compared.
+    Met pairs grow with both sides and are never rows: vectors travel in blocks of about
+    ``block_bytes`` with their buckets, and a block gives out k rows per query.
     """
     if index is None:
         index = projection_index(docs, tables, bits, seed)
     asked = probed_buckets(queries, tables, bits, probes, seed)
-    met = asked.join(index, ["dim", "table", "bucket"]).select("query_id", "doc_id").distinct()
-    of_query = _vectors(queries, "query_id").withColumnRenamed("vector", "of_query")
-    of_doc = _vectors(docs, "doc_id").withColumnRenamed("vector", "of_doc")
-    compared = met.join(of_query, "query_id").join(of_doc, "doc_id").select(
-        "query_id", "doc_id", vectors.cosine(F.col("of_query"), F.col("of_doc")).alias("similarity")
-    )
-    window = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "doc_id")
-    return compared.withColumn("place", F.row_number().over(window)).where(F.col("place") <= k)
+    asking = _with_buckets(queries, asked, "query_id", bits)
+    stored = _with_buckets(docs, index, "doc_id", bits)
+    result_type = T.StructType(
+        [asking.schema["query_id"], stored.schema["doc_id"], T.StructField("similarity", T.DoubleType())]
+    )
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        lengths = right["vector"].map(len)
+        for dim, own in left.groupby(left["vector"].map(len)):
+            docs = right[lengths == dim]
+            if len(docs):
+                yield _nearest_met(own, docs, k)
+
+    partial = similarity.compare_blocks(asking, stored, compare, block_bytes, result_type)
+    return similarity.nearest(partial, k)
+
+
+def _with_buckets(df: DataFrame, found: DataFrame, name: str, bits: int) -> DataFrame:
+    """(id, vector, buckets): the buckets of all vectors of an id, each as one number."""
+    number = (F.col("dim").cast("long") * MOST_TABLES + F.col("table")) * F.lit(1 << bits) + F.col("bucket")
+    own = found.groupBy(name).agg(F.collect_set(number).alias("buckets"))
+    return _vectors(df, name).join(own, name)
+
+
+def _nearest_met(queries: pd.DataFrame, docs: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k most similar of the docs that share a bucket with each query."""
+    buckets = docs["buckets"]
+    places = np.repeat(np.arange(len(docs)), buckets.map(len))
+    numbers = np.concatenate(buckets.to_numpy())
+    order = np.argsort(numbers, kind="stable")
+    numbers, places = numbers[order], places[order]
+    ids, unit = docs["doc_id"].to_numpy(), similarity.unit_rows(docs["vector"])
+    rows = []
+    for query_id, own, vector in zip(
+        queries["query_id"], queries["buckets"], similarity.unit_rows(queries["vector"])
+    ):
+        met = np.zeros(len(docs), bool)
+        for a, b in zip(np.searchsorted(numbers, own), np.searchsorted(numbers, own, "right")):
+            met[places[a:b]] = True
+        met = np.flatnonzero(met)
+        sims = np.round(unit[met] @ vector, 12)
+        best = similarity.best(sims, ids[met], k)
+        rows.append(pd.DataFrame({"query_id": query_id, "doc_id": ids[met[best]], "similarity": sims[best]}))
+    return pd.concat(rows)
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:

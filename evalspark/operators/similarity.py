@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -90,7 +91,12 @@ def _stack(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype="float64") for v in column])
 
 
-def _best(sims: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+def unit_rows(column: pd.Series) -> np.ndarray:
+    """Vectors of one length as rows of length one; a zero vector stays zero."""
+    return _unit_rows(_stack(column))
+
+
+def best(sims: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the k highest values, lower id first among equals."""
     if len(sims) > k:
         limit = np.partition(sims, len(sims) - k)[len(sims) - k]
@@ -103,9 +109,9 @@ def _best(sims: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 def _top_of_block(
     query_ids: np.ndarray, query_unit: np.ndarray, docs: pd.DataFrame, k: int
 ) -> pd.DataFrame:
-    sims = np.round(query_unit @ _unit_rows(_stack(docs["vector"])).T, 12)
+    sims = np.round(query_unit @ unit_rows(docs["vector"]).T, 12)
     ids = docs["doc_id"].to_numpy()
-    places = [_best(row, ids, k) for row in sims]
+    places = [best(row, ids, k) for row in sims]
     counts = [len(p) for p in places]
     return pd.DataFrame(
         {
@@ -153,7 +159,22 @@ def retrieve_top_k(
         )
         for df, name in ((queries, "query_id"), (docs, "doc_id"))
     )
-    partial = _compare_blocks(queries, docs, k, block_bytes, result_type)
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        unit = unit_rows(left["vector"])
+        ids = left["query_id"].to_numpy()
+        # As many similarities at a time as a block has components.
+        step = max(1, block_bytes // (8 * len(right)))
+        for start in range(0, len(left), step):
+            part = slice(start, start + step)
+            yield _top_of_block(ids[part], unit[part], right, k)
+
+    partial = compare_blocks(queries, docs, compare, block_bytes, result_type)
+    return nearest(partial, k)
+
+
+def nearest(partial: DataFrame, k: int) -> DataFrame:
+    """The k most similar rows of each query, lower doc_id first among equals."""
     window = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "doc_id")
     return partial.withColumn("place", F.row_number().over(window)).where(
         F.col("place") <= k
@@ -164,11 +185,18 @@ def _numbers(count: int) -> Column:
     return F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))
 
 
-def _compare_blocks(
-    queries: DataFrame, docs: DataFrame, k: int, block_bytes: int, result_type
+def compare_blocks(
+    queries: DataFrame,
+    docs: DataFrame,
+    compare: Callable[[pd.DataFrame, pd.DataFrame], Iterator[pd.DataFrame]],
+    block_bytes: int,
+    result_type: T.StructType,
 ) -> DataFrame:
+    """What ``compare`` finds in each pair of a block of queries and a block of docs."""
+
     def blocks_of(df: DataFrame) -> int:
-        components = df.agg(F.sum(F.size("vector"))).first()[0] or 0
+        arrays = [f.name for f in df.schema if isinstance(f.dataType, T.ArrayType)]
+        components = df.agg(F.sum(reduce(Column.__add__, map(F.size, arrays)))).first()[0] or 0
         return max(1, -(-8 * components // block_bytes))
 
     blocks, shards = blocks_of(queries), blocks_of(docs)
@@ -183,21 +211,14 @@ def _compare_blocks(
         F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard"),
     )
 
-    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def task(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame(columns=result_type.names)
         if left.empty or right.empty:
-            return pd.DataFrame(columns=["query_id", "doc_id", "similarity"])
-        found = []
-        unit = _unit_rows(_stack(left["vector"]))
-        ids = left["query_id"].to_numpy()
-        # As many similarities at a time as a block has components.
-        step = max(1, block_bytes // (8 * len(right)))
-        for start in range(0, len(left), step):
-            part = slice(start, start + step)
-            found.append(_top_of_block(ids[part], unit[part], right, k))
-        return pd.concat(found)
+            return none
+        return pd.concat(list(compare(left, right)) or [none])
 
     return (
         spread_queries.groupBy("block", "shard")
         .cogroup(spread_docs.groupBy("block", "shard"))
-        .applyInPandas(compare, result_type)
+        .applyInPandas(task, result_type)
     )

@@ -143,3 +143,22 @@ def test_index_without_rows(spark, cloud):
     assert projections.retrieve_by_index(none.withColumnRenamed("doc_id", "query_id"), cloud, 3).collect() == []
     short = cloud.where("doc_id = 2004").withColumnRenamed("doc_id", "query_id")
     assert [r.doc_id for r in projections.retrieve_by_index(short, cloud, 3).collect()] == [2004]
+
+
+def test_met_pairs_are_no_rows(spark, cloud):
+    docs = cloud.where("doc_id < 1500").unionByName(cloud.where("doc_id = 50"))
+    queries = cloud.where("doc_id % 50 = 0 AND doc_id < 1500").withColumnRenamed("doc_id", "query_id")
+    index = projections.projection_index(docs)
+    found = projections.retrieve_by_index(queries, docs, 4, index, block_bytes=20_000)
+    met = projections.probed_buckets(queries).join(index, ["dim", "table", "bucket"])
+    pairs = {(r.query_id, r.doc_id) for r in met.select("query_id", "doc_id").distinct().collect()}
+    data = [(r.doc_id, np.array(r.vector) / np.linalg.norm(r.vector)) for r in docs.collect()]
+    own = {r.query_id: np.array(r.vector) / np.linalg.norm(r.vector) for r in queries.collect()}
+    want = []
+    for q, v in own.items():
+        near = sorted((-round(float(v @ u), 9), d) for d, u in data if (q, d) in pairs)[:4]
+        want += [(q, d, -s, place) for place, (s, d) in enumerate(near, 1)]
+    got = [(r.query_id, r.doc_id, round(r.similarity, 9), r.place) for r in found.collect()]
+    assert sorted(got) == sorted(want)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Join" in line and "bucket#" in line]
