@@ -106,9 +106,14 @@ def write_results(
     path: str,
     mode: str = "errorifexists",
     null_token: str = NULL_TOKEN,
+    most_rows: int = 250_000,
 ) -> None:
-    """Results as CSV with a header; missing values are a token, so NA stays a text."""
-    df.write.mode(mode).csv(
+    """Results as CSV with a header; missing values are a token, so NA stays a text.
+
+    Values may hold line ends, so a file is read whole by one task: after ``most_rows``
+    rows a task starts another file.
+    """
+    df.write.mode(mode).option("maxRecordsPerFile", most_rows).csv(
         path,
         header=True,
         quote='"',

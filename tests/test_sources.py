@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from evalspark.session import scratch_path
 from evalspark.sources import parsers, readers, runs, writers
 from tests.conftest import rows
 
@@ -297,3 +298,13 @@ def test_repeated_logs_leave_rows_once(spark, tmp_path):
     assert runs.read_run_table(spark, root, "run_artifacts").count() == 1
     tags = runs.read_run_table(spark, root, "run_tags").select("key", "value")
     assert rows(tags) == [("k", "new"), ("l", "x")]
+
+
+def test_results_are_cut_into_files_of_bounded_rows(spark):
+    path = scratch_path(spark, "bounded")
+    row = "id, 'T' task, 'a\nb' question, 'x' answer, 'y' raw_prediction, 'y' processed_prediction, 0.5D score, true success"
+    df = spark.range(25).selectExpr(*row.split(", ")).coalesce(1)
+    writers.write_results(df, path, most_rows=10)
+    read = readers.read_results(spark, path)
+    assert len(read.inputFiles()) == 3
+    assert rows(read, "id") == rows(df, "id")
