@@ -250,7 +250,9 @@ class Tables:
             return F.concat(F.lit("chr"), _text((size + shift) % 22 + 1))
 
         blank = F.when(key % 17 == 0, F.lit(" \n"))
-        return self.read("part").select(
+        # A part becomes many answers, and a row group of parts would be a single task.
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return self.read("part").repartition(tasks).select(
             F.inline(
                 F.array(
                     row(

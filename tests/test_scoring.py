@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from evalspark.functions import fixed, metrics, text
 from evalspark.operators import scoring
+from evalspark.plans.tables import Tables
 from tests.conftest import rows
 
 SCHEMA = "id LONG, task STRING, answer STRING, raw_prediction STRING, success BOOLEAN"
@@ -193,3 +194,9 @@ def test_scoring_does_not_shuffle(spark):
     plan = scoring.score_with_context(df)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert rows(df)
+
+
+def test_answers_of_one_row_group_are_scored_by_many_tasks(spark):
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    assert tables.read("part").rdd.getNumPartitions() == 1
+    assert scoring.score_answers(tables.mixed_answers).rdd.getNumPartitions() > 1
