@@ -217,7 +217,9 @@ def pairwise_prompt(
     """Two models' answers to the same item side by side.
 
     The two models are named, so each side of the join holds at most one answer per
-    item and the result is no larger than the smaller side.
+    item and the result is no larger than the smaller side. Answers and items may be
+    many rows made from each row of a small file; by the file's size Spark would send
+    them whole to every task, so both joins are told to sort and merge.
     """
 
     def of(model, name: str) -> DataFrame:
@@ -234,8 +236,8 @@ def pairwise_prompt(
     )
     return (
         of(model_a, "answer_a")
-        .join(of(model_b, "answer_b"), "id")
-        .join(items.select("id", "question"), "id")
+        .join(of(model_b, "answer_b").hint("merge"), "id")
+        .join(items.select("id", "question").hint("merge"), "id")
         .select(
             "id",
             F.lit(model_a).alias("model_a"),

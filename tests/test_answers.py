@@ -273,6 +273,19 @@ def test_judge_and_pairwise_prompts(spark):
     assert "Response A:\nx\n" in pairs[0]["prompt"]
 
 
+def test_pairwise_answers_made_from_few_rows_are_not_broadcast(spark, tmp_path):
+    path = str(tmp_path / "parts")
+    spark.range(300).write.parquet(path)
+    made = spark.read.parquet(path).select(
+        "id", F.inline(F.array(*[F.struct(F.lit(m).alias("model"), F.lit("a").alias("answer")) for m in (0, 1)]))
+    )
+    asked = spark.read.parquet(path).select("id", F.lit("q").alias("question"))
+    got = prompts.pairwise_prompt(made, 0, 1, "accuracy", asked)
+    assert got.count() == 300
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") >= 2
+
+
 def test_append_turns(spark):
     schema = "conv_id LONG, turn LONG, role STRING, text STRING"
     history = spark.createDataFrame([(1, 0, "system", "s"), (1, 4, "user", "u")], schema)
