@@ -27,11 +27,13 @@ def _documented(items: DataFrame, kinds: Sequence[str]) -> DataFrame:
             found = F.regexp_extract(clean, pattern, 1)
             if name in fixed.SEQUENCE_KINDS:
                 found = F.regexp_replace(found, r"\s+|[.?]\s*$", "")
-            argument = argument.when(F.col("kind") == name, F.nullif(found, F.lit("")))
+            argument = argument.when(F.col("kind") == name, found)
     return (
         items.withColumn("_question", question_key(F.col("question")))
         .withColumn("kind", kind.otherwise(UNKNOWN))
         .withColumn("arg", argument.otherwise(F.lit(None).cast("string")))
+        # In a step of its own: within the choice each argument would be cut out twice.
+        .withColumn("arg", F.nullif("arg", F.lit("")))
         .drop("_question")
     )
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from evalspark.functions import fixed
 from evalspark.operators import lookups, ranking, routing
+from evalspark.plans.tables import Tables
 from tests.conftest import rows
 
 SUFFIX = fixed.DECOMPOSE_SUFFIX
@@ -227,3 +228,19 @@ def test_first_present(spark):
         "query STRING, rank INT, v STRING",
     )
     assert rows(ranking.first_present(df, "v")) == [("a", "x"), ("b", None)]
+
+
+def test_gold_answers_made_from_few_rows_are_not_broadcast(spark, tmp_path):
+    made = {
+        "part": ([(1, "n", "b", "PROMO", 3, 1.0)], "p_partkey LONG, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE"),
+        "orders": ([(5, 7)], "o_orderkey LONG, o_custkey LONG"),
+        "lineitem": ([(5, 1)], "l_orderkey LONG, l_partkey LONG"),
+    }
+    for name, (data, schema) in made.items():
+        spark.createDataFrame(data, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    gold = Tables(spark, str(tmp_path)).gold_questions
+    assert gold.select("id").distinct().count() == gold.count() == 12
+    gold.collect()
+    plan = gold._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    (join, *_) = [line for line in plan.split("\n") if "Join" in line]
+    assert "SortMergeJoin [id" in join
