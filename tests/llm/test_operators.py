@@ -290,6 +290,16 @@ def test_quality_tells_symbols_from_prose(spark):
     assert {r.doc_id for r in got.collect() if not r.kept} == {98, 99}
 
 
+def test_quality_counts_common_words_of_any_length(spark):
+    rng = np.random.default_rng(5)
+    common = [f"{a}{b}ischen" for a in "bdfg" for b in "aeio"]
+    rows = [(i, " ".join(rng.choice(common, 150)), "de") for i in range(60)]
+    rows += [(99, " ".join(f"q{a}{b}vxzknm" for a in "bcdfghjklm" for b in "bcdfghjklmnpqrs"), "de")]
+    got = {r.doc_id: r for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert not got[99].base_failed and got[99].js_chars < 0.1
+    assert {i for i, r in got.items() if not r.kept} == {99}
+
+
 def test_empty_vectors_meet_each_other(spark):
     rows = [(0, []), (1, []), (2, []), (3, [1.0]), (4, None)]
     got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0)
